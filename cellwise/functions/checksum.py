@@ -63,7 +63,8 @@ def combined_crc32(pieces: DataFrame, count: int) -> DataFrame:
     Groups of _GROUP neighbours are combined level by level, so no task ever holds more
     than that many partial checksums. ``count`` is the number of pieces.
     """
-    table = F.array(*[F.lit(column).cast("bigint") for column in _zero_operators()])
+    # One string constant, folded into an array once, instead of a literal per number.
+    table = F.split(F.lit(",".join(map(str, _zero_operators()))), ",").cast("array<bigint>")
     level = pieces.select(
         "pos", F.crc32(F.encode("text", "UTF-8")).alias("crc"), F.octet_length("text").cast("bigint").alias("len")
     )

@@ -16,7 +16,7 @@ below are about which rows move, and all rest on sizes that are known or measure
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +30,9 @@ from cellwise.session import BYTES_PER_CELL, fits_broadcast, shuffle_partitions
 PIECE_WORK = 1 << 24
 PIECE_SIDE = 1 << 12
 
+# Products per left cell from which clustering rows moves clearly less than the products.
+ROW_CLUSTER_GAIN = 4
+
 
 def _sized(x: Vector) -> DataFrame:
     """The vector with the join hint its proven size allows."""
@@ -69,12 +72,19 @@ def spmspv(a: Matrix, x: Vector, zero_fill: bool = True) -> Vector:
 
 @dataclass(frozen=True)
 class InnerProfile:
-    """Counts over the inner index of a product, measured in one pass over the keys."""
+    """Counts that decide how a product of two matrices is joined.
+
+    Cells on each side and their greatest number at one inner index, the products in all
+    and at the heaviest index, and the cells of the fullest row on the left.
+    """
 
     left: int
     right: int
+    left_top: int
+    right_top: int
     products: int
     heaviest: int
+    fullest_row: int
 
 
 def inner_counts(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -82,12 +92,45 @@ def inner_counts(df: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def inner_profile(a: Matrix, b: Matrix) -> InnerProfile:
-    """How many cells and products meet at the inner indices."""
+    """Measure the profile in one job, which reads each matrix through shared exchanges."""
     both = inner_counts(a.df, "j", "a").join(inner_counts(b.df, "i", "b"), "k", "full")
     # Counts are multiplied as decimals: two hot sides can exceed BIGINT.
-    work = F.coalesce(F.col("a"), F.lit(0)).cast("decimal(19,0)") * F.coalesce(F.col("b"), F.lit(0)).cast("decimal(19,0)")
-    row = both.agg(F.sum("a"), F.sum("b"), F.sum(work), F.max(work)).first()
-    return InnerProfile(*(int(value or 0) for value in row))
+    work = F.coalesce("a", F.lit(0)).cast("decimal(19,0)") * F.coalesce("b", F.lit(0)).cast("decimal(19,0)")
+    inner = both.agg(
+        F.sum("a").alias("left"),
+        F.sum("b").alias("right"),
+        F.max("a").alias("left_top"),
+        F.max("b").alias("right_top"),
+        F.sum(work).alias("products"),
+        F.max(work).alias("heaviest"),
+    )
+    rows = a.df.groupBy("i").agg(F.count("*").alias("n")).agg(F.max("n").alias("fullest_row"))
+    measured: dict[str, int] = {}
+    for row in inner.unionByName(rows, allowMissingColumns=True).collect():
+        measured |= {name: int(value) for name, value in row.asDict().items() if value is not None}
+    return InnerProfile(**{field.name: measured.get(field.name, 0) for field in fields(InnerProfile)})
+
+
+def spmm_strategy(spark: SparkSession, p: InnerProfile) -> str:
+    """How to bring cells with equal inner index together.
+
+    ``broadcast_right`` and ``broadcast_left`` where that side is proven small;
+    ``split`` where one index would form more products than one task should;
+    ``hash_right`` and ``hash_left`` where one shuffled partition of that side, its
+    fullest index included, fits a hash table; else ``merge``.
+    """
+    parts = shuffle_partitions(spark)
+    if fits_broadcast(spark, p.right):
+        return "broadcast_right"
+    if fits_broadcast(spark, p.left):
+        return "broadcast_left"
+    if p.heaviest > PIECE_WORK:
+        return "split"
+    if p.right <= p.left and fits_broadcast(spark, p.right // parts + p.right_top):
+        return "hash_right"
+    if fits_broadcast(spark, p.left // parts + p.left_top):
+        return "hash_left"
+    return "merge"
 
 
 def _spread(a: DataFrame, b: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -128,18 +171,27 @@ def spmm(a: Matrix, b: Matrix, profile: InnerProfile | None = None) -> Matrix:
     """
     check_multiply(a.shape, b.shape)
     spark = a.df.sparkSession
-    profile = profile or inner_profile(a, b)
+    p = profile or inner_profile(a, b)
+    strategy = spmm_strategy(spark, p)
     left = a.df.select("i", F.col("j").alias("k"), F.col("v").alias("a_v"))
     right = b.df.select(F.col("i").alias("k"), "j", F.col("v").alias("b_v"))
     keys = ["k"]
-    if fits_broadcast(spark, profile.right):
+    if strategy == "broadcast_right":
         right = F.broadcast(right)
-    elif fits_broadcast(spark, profile.left):
+        if p.products > ROW_CLUSTER_GAIN * p.left and p.fullest_row * shuffle_partitions(spark) <= p.left:
+            # Whole rows in one task: the cells of A move instead of their many products,
+            # and the sums need no shuffle. Only where no row outweighs a partition.
+            left = left.repartition("i")
+    elif strategy == "broadcast_left":
         left = F.broadcast(left)
-    elif profile.heaviest > PIECE_WORK:
+    elif strategy == "split":
         counts = inner_counts(a.df, "j", "a").join(inner_counts(b.df, "i", "b"), "k")
         left, right = _spread(left, right, counts)
         keys = ["k", "p", "q"]
+    elif strategy == "hash_right":
+        right = right.hint("shuffle_hash")
+    elif strategy == "hash_left":
+        left = left.hint("shuffle_hash")
     return Matrix(_cell_sums(left.join(right, keys)), Shape(a.shape.rows, b.shape.cols))
 
 

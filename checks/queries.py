@@ -7,6 +7,7 @@ dimensions come from the tables, so the work grows with them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +37,10 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return table(self.spark, self.folder, name)
+        self.__dict__[name] = table(self.spark, self.folder, name)
+        return self.__dict__[name]
 
+    @cache
     def size(self, name: str) -> int:
         return getattr(self, name).count()
 
