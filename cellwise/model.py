@@ -31,12 +31,14 @@ class Matrix:
 
     ``terms`` are triplets that still may repeat an (i, j) pair and add up to ``df``.
     Sums over rows are linear in the cells, so they can read the terms and skip the
-    shuffle that adds repeated pairs up.
+    shuffle that adds repeated pairs up. ``nonzeros`` is the number of cells where a
+    reader has counted them already.
     """
 
     df: DataFrame
     shape: Shape
     terms: DataFrame | None = None
+    nonzeros: int | None = None
 
     @property
     def summands(self) -> DataFrame:
@@ -48,7 +50,7 @@ class Matrix:
             return df.select(F.col("j").alias("i"), F.col("i").alias("j"), "v")
 
         terms = None if self.terms is None else flip(self.terms)
-        return Matrix(flip(self.df), Shape(self.shape.cols, self.shape.rows), terms)
+        return Matrix(flip(self.df), Shape(self.shape.cols, self.shape.rows), terms, self.nonzeros)
 
 
 @dataclass(frozen=True)
@@ -57,6 +59,7 @@ class DenseMatrix:
 
     df: DataFrame
     shape: Shape
+    nonzeros: int | None = None
 
     def cells(self) -> DataFrame:
         """All cells as triplets, zeros included."""
@@ -65,7 +68,7 @@ class DenseMatrix:
         ).select("i", F.col("p").cast("bigint").alias("j"), "v")
 
     def to_sparse(self) -> Matrix:
-        return Matrix(drop_zeros(self.cells()), self.shape)
+        return Matrix(drop_zeros(self.cells()), self.shape, nonzeros=self.nonzeros)
 
 
 @dataclass(frozen=True)

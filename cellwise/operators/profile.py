@@ -57,6 +57,8 @@ def is_sparse(operand: Matrix | DenseMatrix | Vector) -> bool:
     if isinstance(operand, Vector):
         nonzeros = operand.df.where("x != 0").count()
         return operand.n == 0 or nonzeros / operand.n < SPARSE_BELOW
+    if operand.nonzeros is not None:
+        return operand.shape.cells == 0 or operand.nonzeros / operand.shape.cells < SPARSE_BELOW
     cells = operand.to_sparse() if isinstance(operand, DenseMatrix) else operand
     return matrix_sparsity(cells).first().is_sparse
 

@@ -109,11 +109,14 @@ def dense_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def line_widths(lines: DataFrame) -> tuple[int, int, int]:
-    """(lines, narrowest, widest) in tokens, in one pass."""
-    n = F.size(tokens(F.col("value")))
-    count, low, high = lines.agg(F.count("*"), F.min(n), F.max(n)).first()
-    return count, low or 0, high or 0
+def _measured(lines: DataFrame) -> tuple[Shape, int]:
+    """Shape and nonzero count of numeric lines in one pass; ragged rows are an error."""
+    row = F.transform(tokens(F.col("value")), lambda t: t.cast("double"))
+    per_line = lines.select(F.size(row).alias("n"), F.size(F.filter(row, lambda x: x != 0)).alias("nonzeros"))
+    rows, low, high, nonzeros = per_line.agg(F.count("*"), F.min("n"), F.max("n"), F.sum("nonzeros")).first()
+    if low != high:
+        raise ValueError(f"ragged rows: between {low} and {high} columns")
+    return Shape(rows, high or 0), nonzeros or 0
 
 
 def grid_matrix(lines: DataFrame, mode: str = "strict") -> Matrix:
@@ -122,10 +125,8 @@ def grid_matrix(lines: DataFrame, mode: str = "strict") -> Matrix:
     Strict input must be rectangular. Lenient input is as wide as its widest line.
     """
     if mode == "strict":
-        rows, low, high = line_widths(lines)
-        if low != high:
-            raise ValueError(f"ragged rows: between {low} and {high} columns")
-        return Matrix(strict_cells(lines), Shape(rows, high))
+        shape, nonzeros = _measured(lines)
+        return Matrix(strict_cells(lines), shape, nonzeros=nonzeros)
     if mode == "lenient":
         width = F.size(filled_tokens(F.col("value")))
         rows, high = lines.agg(F.max("row"), F.max(width)).first()
@@ -141,10 +142,8 @@ def read_grid(spark: SparkSession, paths: str | list[str], mode: str = "strict")
 def read_dense(spark: SparkSession, paths: str | list[str]) -> DenseMatrix:
     """Text grid as a dense matrix; empty input gives 0x0, ragged rows are an error."""
     lines = read_lines(spark, paths, "numeric")
-    rows, low, high = line_widths(lines)
-    if low != high:
-        raise ValueError(f"ragged rows: between {low} and {high} columns")
-    return DenseMatrix(dense_lines(lines), Shape(rows, high))
+    shape, nonzeros = _measured(lines)
+    return DenseMatrix(dense_lines(lines), shape, nonzeros)
 
 
 def read_vector(

@@ -305,6 +305,12 @@ def oracle_sql() -> dict[str, str]:
             case when r <> 0 then round(d / r, 9) end as speedup_total,
             case when rk <> 0 then round(dk / rk, 9) end as speedup_kernel
           from t left join (select * from k where rn = 1) k on t.name = k.name and t.ablation = k.ablation""",
+        "kernel_table": """with e as (select event_type as name, value,
+            case when user_id % 2 = 0 then 'baseline' else 'df_shuffle_200' end as ablation, event_id % 2 = 0 as rdd from events)
+          select name, ablation, median(value) filter (where rdd) as "RDD_kernel_ms",
+            median(value) filter (where not rdd) as "DF_kernel_ms", min(value) filter (where rdd) as "RDD_kernel_min",
+            max(value) filter (where rdd) as "RDD_kernel_max", min(value) filter (where not rdd) as "DF_kernel_min",
+            max(value) filter (where not rdd) as "DF_kernel_max" from e group by 1, 2""",
         "event_log_rollup": f"""with e as (select event_type as label, event_id, user_id, cast(floor(value) as bigint) a,
             event_id % 10 > 1 as task from events),
           r as (select label, a, row_number() over (partition by label order by a) rn,

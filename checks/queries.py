@@ -331,6 +331,16 @@ def merge_summaries(t: Tables) -> DataFrame:
     return merged.withColumns({c: F.round(c, 9) for c in ("speedup_total", "speedup_kernel")})
 
 
+def kernel_table(t: Tables) -> DataFrame:
+    trials = t.events.select(
+        F.col("event_type").alias("name"),
+        F.when(F.col("user_id") % 2 == 0, "baseline").otherwise("df_shuffle_200").alias("ablation"),
+        F.when(F.col("event_id") % 2 == 0, "rdd").otherwise("df").alias("engine"),
+        F.col("value").alias("ms"),
+    )
+    return benchstats.kernel_table(trials)
+
+
 def event_log_rollup(t: Tables) -> DataFrame:
     """Each event as a line of a Spark event log: a finished task, or a job or stage event."""
     amount = F.floor("value").cast("bigint")
@@ -424,7 +434,7 @@ _ALL = [
     sparsity, line_sparsity, matrix_sparsity, shape_profile, vector_class, result_cells,
     numeric_lines, lenient_coo, grid_to_coo, normalize_text,
     read_lines, read_grid, read_dense, read_column_vector, read_row_vector,
-    nearest_rank, trial_stats, merge_summaries, event_log_rollup,
+    nearest_rank, trial_stats, merge_summaries, kernel_table, event_log_rollup,
     gen_identity, gen_diagonal, gen_zero, gen_upper, gen_banded, gen_block_diagonal,
     gen_uniform_draws, gen_uniform_rows, gen_power_law, gen_row_hotspot, gen_dense_vector, gen_sparse_vector,
 ]

@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 from helpers import A, B, C, D, S, V, dense, grid, sparse, values, vector
+from pyspark.sql import functions as F
 
 import cellwise as cw
 from cellwise.model import DenseMatrix, Matrix, Shape, Vector
@@ -195,6 +196,25 @@ def test_row_clustering_keeps_the_product_and_drops_a_shuffle(spark):
     assert final.count("Exchange hashpartitioning(i") == final.count("Exchange hashpartitioning") == 1, plan
 
 
+@pytest.mark.parametrize("is_dense, join", [(True, "ShuffledHashJoin"), (False, "SortMergeJoin")])
+def test_hot_column_is_split_at_run_time(spark, setting, monkeypatch, is_dense, join):
+    """A third of all cells in one column: its partition is read by several tasks."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "200KB")
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
+    setting("spark.sql.shuffle.partitions", "16")
+    monkeypatch.setattr(mul, "fits_broadcast", lambda spark, rows, *_: is_dense and rows < 10_000)
+    n = 20_000
+    cell = spark.range(0, 600_000, 1, 8)
+    column = F.when(F.col("id") % 3 == 0, 7).otherwise(F.pmod(F.xxhash64("id"), F.lit(n)))
+    a = Matrix(cell.select((F.col("id") % n).alias("i"), column.alias("j"), F.lit(1.0).alias("v")), Shape(n, n))
+    x = Vector(spark.range(n).select(F.col("id").alias("k"), F.lit(1.0).alias("x")), n, is_dense)
+    y = cw.spmv(a, x).df
+    assert sum(r.x for r in y.collect()) == 600_000
+    final = y._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert f"{join}(skew=true)" in final
+
+
 def test_partition_count_does_not_matter(spark, setting):
     expected = grid(cw.spmm(sparse(spark, C), sparse(spark, C)))
     setting("spark.sql.shuffle.partitions", "13")
