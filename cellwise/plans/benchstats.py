@@ -140,13 +140,14 @@ def event_log_rollup(lines: DataFrame) -> DataFrame:
 
     Job, stage and task counts, byte sums, GC time, and percentiles of the task times.
     """
-    events = lines.select("label", F.from_json("line", _EVENT_SCHEMA).alias("e"))
-    m = F.col("e.Task Metrics")
-    is_task = F.col("e.Event") == "SparkListenerTaskEnd"
+    # Opened by a generator, which filters on the fields do not pass: each line is parsed once.
+    events = lines.select("label", F.inline(F.array(F.from_json("line", _EVENT_SCHEMA))))
+    m = F.col("Task Metrics")
+    is_task = F.col("Event") == "SparkListenerTaskEnd"
     read = m["Shuffle Read Metrics"]
     flat = events.select(
         "label",
-        F.col("e.Event").alias("event"),
+        F.col("Event").alias("event"),
         F.when(is_task, m["Executor Run Time"]).alias("run_ms"),
         F.when(is_task, m["JVM GC Time"]).alias("gc_ms"),
         F.when(is_task, m["Memory Bytes Spilled"]).alias("mem_spill_bytes"),
