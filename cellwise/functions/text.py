@@ -18,9 +18,9 @@ def trimmed(text: Column) -> Column:
 
 def tokens(line: Column) -> Column:
     """Comma-separated tokens; empty tokens at the end of the line do not count."""
-    return F.when(line.rlike("^,+$"), F.array().cast("array<string>")).otherwise(
-        F.split(F.regexp_replace(line, ",+$", ""), ",")
-    )
+    kept = F.rtrim(line, F.lit(","))
+    only_commas = (kept == "") & (line != "")
+    return F.when(only_commas, F.array().cast("array<string>")).otherwise(F.split(kept, ","))
 
 
 def filled_tokens(line: Column) -> Column:
@@ -34,9 +34,9 @@ def number(token: Column) -> Column:
     Spark also reads ``nan`` and ``inf`` in any case; only ``NaN`` and ``Infinity``
     spelled so count here.
     """
-    spelled = F.upper(trimmed(token)).rlike("^[+-]?(NAN|INF|INFINITY)$")
+    # Only these words hold an n, so plain digits skip the pattern.
     exact = trimmed(token).rlike("^[+-]?(NaN|Infinity)$")
-    return F.when(~spelled | exact, token.try_cast("double"))
+    return F.when(~F.lower(token).contains("n") | exact, token.try_cast("double"))
 
 
 def is_numeric_line(line: Column) -> Column:
