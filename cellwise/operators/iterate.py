@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cellwise.functions.mixing import hashed
 from cellwise.model import Matrix, Vector, indices
 from cellwise.operators.multiply import _row_sums, inner_counts, spmv
-from cellwise.session import durable, fits_broadcast, shuffle_partitions
+from cellwise.session import durable, fits_broadcast, shuffle_partitions, sized
 
 # Cells of one column kept together when a matrix is laid out for repeated use.
 COLUMN_PIECE = 1 << 20
@@ -47,7 +47,7 @@ class _ColumnLayout:
 
     A column with more than COLUMN_PIECE cells is cut into pieces by row, each a key of
     its own; the vector entry is repeated for them. The cached partitions are hashed on
-    (j, p), which is the join key, so the matrix is neither shuffled nor sorted again,
+    (k, p), which is the join key, so the matrix is neither shuffled nor sorted again,
     and no partition holds more of a hot column than one piece.
     """
 
@@ -56,19 +56,27 @@ class _ColumnLayout:
         spark = a.df.sparkSession
         self.parts = shuffle_partitions(spark)
         counts = inner_counts(a.df, "j", "a").where(F.col("a") > COLUMN_PIECE)
-        self.heavy = durable(counts.select("k", F.ceil(F.col("a") / F.lit(COLUMN_PIECE)).alias("p_n")))
-        piece = F.pmod(hashed(F.col("i")), F.coalesce(F.col("p_n"), F.lit(1)).cast("bigint"))
-        cells = a.df.join(self.heavy, F.col("j") == F.col("k"), "left").select("i", "j", piece.alias("p"), "v")
-        self.cells = cells.repartition(self.parts, "j", "p").persist()
+        self.heavy, self.heavy_columns = sized(
+            counts.select("k", F.ceil(F.col("a") / F.lit(COLUMN_PIECE)).cast("bigint").alias("p_n"))
+        )
+        piece = F.pmod(hashed(F.col("i")), F.coalesce(F.col("p_n"), F.lit(1)))
+        cells = self._with_pieces(a.df.withColumnRenamed("j", "k")).select("i", "k", piece.alias("p"), "v")
+        self.cells = cells.repartition(self.parts, "k", "p").persist()
+
+    def _with_pieces(self, df: DataFrame) -> DataFrame:
+        """Add p_n, the pieces of a heavy column k; NULL for one left whole."""
+        if not self.heavy_columns:
+            return df.withColumn("p_n", F.lit(None).cast("bigint"))
+        return df.join(self.heavy, "k", "left")
 
     def times(self, x: Vector) -> DataFrame:
-        p_n = F.coalesce(F.col("p_n"), F.lit(1)).cast("bigint")
-        every = F.explode(F.sequence(F.lit(0).cast("bigint"), p_n - 1))
-        entries = x.df.join(self.heavy, "k", "left").select("k", "x", every.alias("q"))
-        entries = entries.repartition(self.parts, "k", "q")
+        last = F.coalesce(F.col("p_n"), F.lit(1)) - 1
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), last))
+        entries = self._with_pieces(x.df).select("k", every.alias("p"), "x")
+        entries = entries.repartition(self.parts, "k", "p")
         if fits_broadcast(x.df.sparkSession, x.n // self.parts):
             entries = entries.hint("shuffle_hash")
-        met = self.cells.join(entries, (F.col("j") == F.col("k")) & (F.col("p") == F.col("q")))
+        met = self.cells.join(entries, ["k", "p"])
         return _row_sums(met.select("i", (F.col("v") * F.col("x")).alias("y")), self.shape.rows, True)
 
     def release(self) -> None:

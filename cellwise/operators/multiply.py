@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from cellwise.functions.mixing import hashed
 from cellwise.model import DenseMatrix, Matrix, Shape, Vector, indices
 from cellwise.operators.profile import check_multiply, is_sparse, require_sparse_left
-from cellwise.session import BYTES_PER_CELL, fits_broadcast, shuffle_partitions
+from cellwise.session import BYTES_PER_CELL, fits_broadcast, shuffle_partitions, sized
 
 # Most products one piece of an inner index may form, and the side of a square piece.
 PIECE_WORK = 1 << 24
@@ -144,7 +144,7 @@ def _spread(a: DataFrame, b: DataFrame, counts: DataFrame) -> tuple[DataFrame, D
     side = F.lit(PIECE_SIDE)
     p_n = F.ceil(F.col("a") * F.least(F.col("b"), side) / F.lit(PIECE_WORK))
     q_n = F.ceil(F.col("b") * F.least(F.col("a"), side) / F.lit(PIECE_WORK))
-    heavy = counts.select("k", p_n.alias("p_n"), q_n.alias("q_n")).where("p_n > 1 or q_n > 1")
+    heavy, _ = sized(counts.select("k", p_n.alias("p_n"), q_n.alias("q_n")).where("p_n > 1 or q_n > 1"))
 
     def pieces(n: str):
         return F.coalesce(F.col(n), F.lit(1)).cast("bigint")
@@ -211,13 +211,14 @@ def spdm(a: Matrix, b: DenseMatrix) -> Matrix:
     else:
         # One right row per index: cut the left side where its count times B's width is heavy.
         limit = max(1, PIECE_WORK // max(1, b.shape.cols))
-        heavy = inner_counts(a.df, "j", "a").where(F.col("a") > limit)
-        heavy = heavy.select("k", F.ceil(F.col("a") / F.lit(limit)).alias("p_n"))
-        p_n = F.coalesce(F.col("p_n"), F.lit(1)).cast("bigint")
-        left = left.join(heavy, "k", "left").withColumn("p", F.pmod(hashed(F.col("i")), p_n)).drop("p_n")
-        every = F.explode(F.sequence(F.lit(0).cast("bigint"), p_n - 1))
-        right = right.join(heavy, "k", "left").withColumn("p", every).drop("p_n")
-        keys = ["k", "p"]
+        counts = inner_counts(a.df, "j", "a").where(F.col("a") > limit)
+        heavy, n = sized(counts.select("k", F.ceil(F.col("a") / F.lit(limit)).alias("p_n")))
+        if n:
+            p_n = F.coalesce(F.col("p_n"), F.lit(1)).cast("bigint")
+            left = left.join(heavy, "k", "left").withColumn("p", F.pmod(hashed(F.col("i")), p_n)).drop("p_n")
+            every = F.explode(F.sequence(F.lit(0).cast("bigint"), p_n - 1))
+            right = right.join(heavy, "k", "left").withColumn("p", every).drop("p_n")
+            keys = ["k", "p"]
     cells = left.join(right, keys).select("i", "a_v", F.posexplode("row").alias("j", "b_v"))
     cells = cells.withColumn("j", F.col("j").cast("bigint"))
     return Matrix(_cell_sums(cells), Shape(a.shape.rows, b.shape.cols))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellwise.session import durable
+from cellwise.session import durable, sized
 
 
 def nearest_ranks(share: float):
@@ -49,7 +49,8 @@ def order_statistics(df: DataFrame, keys: list[str], value: str, picks: dict) ->
         (F.sum("_m").over(in_order) - F.col("_m")).alias("_before"),
     )
     wanted = F.explode(F.concat(*[_named(name, ranks(F.col("_n"))) for name, ranks in picks.items()]))
-    targets = (
+    # A few rows per group. With their number known they filter the ranges in place.
+    targets, _ = sized(
         blocks.withColumn("_w", wanted)
         .select(*keys, "_b", F.col("_w.pick").alias("_pick"), (F.col("_w.rank") - F.col("_before")).alias("_r"), "_m")
         .where("_r >= 0 and _r < _m")

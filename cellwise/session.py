@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
@@ -67,3 +68,14 @@ def durable(df: DataFrame) -> DataFrame:
         if df.sparkSession.sparkContext.getCheckpointDir() is None:
             df.sparkSession.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def sized(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written durably and counted, with a broadcast hint if that count fits.
+
+    For the short lists that steer a join, such as heavy keys. Planned from estimates,
+    the large side would be shuffled before the list's real size is known.
+    """
+    written = durable(df)
+    rows = written.count()
+    return (F.broadcast(written) if fits_broadcast(df.sparkSession, rows) else written), rows
