@@ -107,15 +107,17 @@ def power_iteration(
     cells = a if kept is None else Matrix(kept, a.shape)
     v = Vector(indices(spark, n, "k").withColumn("x", F.lit(1.0 / n)), n, dense=True)
     residual = 0.0
-    for _ in range(steps):
-        y = Vector(durable(laid_out.times(v) if laid_out else spmv(cells, v).df), n, dense=True)
-        norm = l1_norm(y).first().norm
-        scaled = F.lit(alpha) * (F.col("x") / F.lit(norm)) + F.lit((1.0 - alpha) / n)
-        previous, v = v, Vector(y.df.select("k", scaled.alias("x")), n, dense=True)
-    if steps:
-        residual = l1_distance(v, previous).first().distance
-    if laid_out:
-        laid_out.release()
-    if kept is not None:
-        kept.unpersist()
+    try:
+        for _ in range(steps):
+            y = Vector(durable(laid_out.times(v) if laid_out else spmv(cells, v).df), n, dense=True)
+            norm = l1_norm(y).first().norm
+            scaled = F.lit(alpha) * (F.col("x") / F.lit(norm)) + F.lit((1.0 - alpha) / n)
+            previous, v = v, Vector(y.df.select("k", scaled.alias("x")), n, dense=True)
+        if steps:
+            residual = l1_distance(v, previous).first().distance
+    finally:
+        if laid_out:
+            laid_out.release()
+        if kept is not None:
+            kept.unpersist()
     return Iterated(v, residual, steps)

@@ -27,8 +27,8 @@ def read_lines(spark: SparkSession, paths: str | list[str], keep: str = "all") -
     ``keep`` is ``all``, ``filled`` (no blank lines) or ``numeric``; lines are numbered
     after that filter. A scan task reads whole file blocks, so ids grow by one within a
     block; the row number is the block's offset plus the distance to its first id. Only
-    the per-block counts are ever brought together, and both passes push all work to
-    the scan: no line is shuffled.
+    the per-block counts are brought together; they go to the lines, not the lines to
+    them, as long as the number of blocks, known from the file listing, fits a broadcast.
     """
     lines = spark.read.text(paths).select(
         "value",
