@@ -9,13 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import language, secrets, toxicity
+from . import embedding, language, secrets, simhash, toxicity
 from .spread import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -24,12 +29,17 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.language(table(spark, folder, "documents"))
 
 
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, folder, "documents"))
     return found.withColumn("spans", secrets.spans_text())
 
 
-_ALL = [op2_toxicity, op4_language, op8_secrets]
+_ALL = [op1_embedding_dedup, op2_toxicity, op4_language, op6_simhash, op8_secrets]
 
 
 def queries() -> dict[str, Query]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -11,10 +12,17 @@ from pyspark.sql import functions as F
 
 from cellwise.session import durable, shuffle_partitions
 
-__all__ = ["durable", "sorted_runs", "map_runs", "text_size", "shuffle_partitions", "table"]
+__all__ = ["durable", "importable", "sorted_runs", "map_runs", "text_size", "shuffle_partitions", "table"]
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers find this package where the driver has it, if it is not installed."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
