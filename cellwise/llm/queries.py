@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding, language, secrets, simhash, toxicity
+from . import embedding, language, passages, secrets, simhash, substrings, toxicity
 from .spread import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op3_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = passages.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.language(table(spark, folder, "documents"))
 
@@ -34,12 +39,17 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, folder, "documents"))
     return found.withColumn("spans", secrets.spans_text())
 
 
-_ALL = [op1_embedding_dedup, op2_toxicity, op4_language, op6_simhash, op8_secrets]
+_ALL = [op1_embedding_dedup, op2_toxicity, op3_passages, op4_language, op6_simhash, op7_substrings, op8_secrets]
 
 
 def queries() -> dict[str, Query]:
