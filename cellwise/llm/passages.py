@@ -27,25 +27,37 @@ _WORD = ~blocks.SPACE
 class WordWindows(Windows):
     length = WINDOW
     within = True
+    reach = WINDOW - _BLOCK
 
     def items(self, chunk: Chunk) -> np.ndarray:
         starts, ends, self.first = blocks.words(chunk.data, chunk.offsets, _WORD)
-        each = blocks.word_hashes(chunk.data, starts, ends, 1)
-        self.sums = {1: blocks.rolling(11).sums(each), 2: blocks.rolling(12).sums(blocks.mix(each))}
+        self.each = blocks.word_hashes(chunk.data, starts, ends, 1)
+        self.sums = blocks.rolling(11).sums(self.each)
         return self.first
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        row = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
-        at = np.arange(len(row))
-        at = at[at + _BLOCK <= self.first[row + 1]]
-        indexed = (at - self.first[row[at]]) % _BLOCK == 0
-        return at, blocks.rolling(11).windows(self.sums[1], at, _BLOCK), indexed
+    def boundaries(self) -> np.ndarray:
+        """A word of every sixteen or so, with the one before it."""
+        mark = np.zeros(len(self.each), bool)
+        mark[1:] = (self.each[1:] + self.each[:-1] * np.uint64(3)) >> np.uint64(60) == 0
+        return mark
 
-    def reach(self) -> int:
-        return WINDOW - _BLOCK
+    def spans(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return blocks.rolling(11).windows(self.sums, starts, ends), self._second(starts, ends)
 
-    def hashes(self, starts: np.ndarray, seed: int) -> np.ndarray:
-        return blocks.rolling(10 + seed).windows(self.sums[seed], starts, WINDOW)
+    def _second(self, starts: np.ndarray, ends: np.ndarray | int) -> np.ndarray:
+        return blocks.rolling(12).windows(blocks.rolling(12).sums(blocks.mix(self.each)), starts, ends)
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.diff(self.first)
+        place = np.arange(len(self.each)) - np.repeat(self.first[:-1], sizes)
+        at = np.flatnonzero(place + _BLOCK <= np.repeat(sizes, sizes))
+        return at, place[at] % _BLOCK == 0
+
+    def anchor_hashes(self, at: np.ndarray) -> np.ndarray:
+        return blocks.rolling(11).windows(self.sums, at, _BLOCK)
+
+    def hashes(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return blocks.rolling(11).windows(self.sums, starts, WINDOW), self._second(starts, WINDOW)
 
 
 def _result(work: Work | None, covered: np.ndarray | None) -> pa.Table:
@@ -61,7 +73,7 @@ def _result(work: Work | None, covered: np.ndarray | None) -> pa.Table:
         kept.append(b" ".join(compress(words, (~covered[first[r] : first[r + 1]]).tolist())))
     removed = np.diff(np.concatenate([[0], np.cumsum(covered)])[first])
     kept = pa.array(kept, pa.binary()).cast(pa.string())
-    return pa.Table.from_arrays([work.chunk.keys.combine_chunks() if isinstance(work.chunk.keys, pa.ChunkedArray) else work.chunk.keys, pa.array(np.diff(first)), pa.array(removed), kept], names)
+    return pa.Table.from_arrays([work.chunk.keys, pa.array(np.diff(first)), pa.array(removed), kept], names)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Windows that occur elsewhere too, found in two exchanges of packed hashes.
+"""Windows that occur elsewhere too, found in three exchanges of packed hashes.
 
 Both exact repeat operators ask, for every window of fixed length, for the smallest document
 that holds it. Texts are dealt into chunks of a few megabytes by a hash of their rows. A chunk
@@ -6,11 +6,15 @@ sends, for each bucket of the hash space, one row with the packed hashes that fa
 gets back one bit for each; so a hash costs its own few bytes and an answer one bit, and a
 frequent hash is sent once by a chunk however often it occurs in it.
 
-1. *Anchors*, a sparse subset of positions, are sent with short hashes. A hash that another
-   chunk sent too (or that is repeated within the chunk) marks its anchor as a hit. The anchors
-   are chosen such that each window that occurs twice holds a hit in both places, so false
-   hits cost time only.
-2. Around hits, *windows* are sent with a full 64-bit hash, in buckets taken from a second
+1. *Segments* between content-defined boundaries are compared whole. Where a smaller document
+   has the same segment, all windows that start in it are repeats, and the segment is closed:
+   the smallest document that holds any of its windows is open there, so closed segments need
+   not be looked at again. Copies cost little after this.
+2. *Anchors*, a sparse subset of the positions under open windows, are sent with short hashes.
+   A hash that another chunk sent too (or that is repeated within the chunk) marks its anchor
+   as a hit. The anchors are chosen such that each window that occurs twice holds a hit in
+   both places, so false hits cost time only.
+3. Open *windows* around hits are sent with a full 64-bit hash, in buckets taken from a second
    independent hash, with the smallest document of the chunk that holds them. The answer tells
    whether a smaller document has it elsewhere.
 
@@ -33,6 +37,8 @@ CHUNK_BYTES = 3 << 20
 BUCKET_BYTES = 4 << 20
 LEAST = 256
 NO_ID = np.iinfo(np.int64).max
+# Bits that number the anchors of a chunk, beside those of bucket and key in one sorted word.
+_PLACE = 22
 
 
 class Chunk:
@@ -40,32 +46,81 @@ class Chunk:
 
     def __init__(self, rows: pa.Table):
         rows = rows.sort_by([("k", "ascending"), ("t", "ascending")]).combine_chunks()
-        self.keys = rows.column("k")
+        self.keys = pa.concat_arrays(rows.column("k").chunks) if rows.num_rows else pa.array([], pa.int64())
         self.data, self.offsets = blocks.text_bytes(rows.column("t"))
         self.ids = self.keys.fill_null(NO_ID).to_numpy().astype(np.int64)
 
 
 class Windows(ABC):
-    """What one operator counts as items, anchors and windows of a chunk."""
+    """What one operator counts as items, boundaries, anchors and windows of a chunk."""
 
     length: int
     within: bool
+    reach: int
 
     @abstractmethod
     def items(self, chunk: Chunk) -> np.ndarray:
         """Where each row's items begin, and the end of the last."""
 
     @abstractmethod
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Positions, hashes and whether they are index entries (others only probe)."""
+    def boundaries(self) -> np.ndarray:
+        """A mark at each item where a segment may begin, by what follows it."""
 
     @abstractmethod
-    def reach(self) -> int:
-        """How many items before an anchor a window that holds it may start."""
+    def spans(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of [start, end), of different lengths."""
 
     @abstractmethod
-    def hashes(self, starts: np.ndarray, seed: int) -> np.ndarray:
-        """Hashes of whole windows."""
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and whether they are index entries (others only probe).
+
+        A window holds the anchors from its start to ``reach`` items after it.
+        """
+
+    @abstractmethod
+    def anchor_hashes(self, at: np.ndarray) -> np.ndarray:
+        """Hashes at some anchors."""
+
+    @abstractmethod
+    def hashes(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two independent hashes of whole windows."""
+
+
+class Groups:
+    """Equal pieces of a chunk; each group's first is of its smallest id."""
+
+    def __init__(self, hashes: np.ndarray, second: np.ndarray, row: np.ndarray, ids: np.ndarray, buckets: int, within: bool):
+        bucket = (second % np.uint64(buckets)).astype(np.int32)
+        self.order = np.lexsort((hashes, bucket))
+        new = blocks.first_in_group(hashes[self.order]) | blocks.first_in_group(bucket[self.order])
+        group = np.cumsum(new) - 1
+        lead = self.order[new]
+        # Groups stand by bucket and then by place, which keeps equal ids together.
+        by_place = np.lexsort((lead, bucket[lead]))
+        place = np.empty(len(lead), np.int64)
+        place[by_place] = np.arange(len(lead))
+        self.group = place[group]
+        lead = lead[by_place]
+        self.bucket, self.hash, self.id = bucket[lead], hashes[lead], ids[row[lead]]
+        own = row[self.order]
+        self.later = ids[own] > self.id[self.group]
+        if within:
+            same = ~new
+            same[1:] &= own[1:] == own[:-1]
+            self.later |= same
+
+    def ask(self):
+        for bucket, a, b in _slices(self.bucket):
+            ids = self.id[a:b]
+            begin = np.flatnonzero(blocks.first_in_group(ids))
+            runs = np.diff(np.append(begin, b - a)).astype(np.uint32)
+            yield bucket, self.hash[a:b].tobytes(), ids[begin].tobytes() + runs.tobytes()
+
+    def repeated(self, answers: dict[int, bytes]) -> np.ndarray:
+        """Marks the pieces that an earlier place has too."""
+        out = np.empty(len(self.order), bool)
+        out[self.order] = self.later | _read(self.bucket, answers)[self.group]
+        return out
 
 
 class Work:
@@ -75,92 +130,96 @@ class Work:
         self.chunk = Chunk(rows)
         self.windows = kind()
         self.first = self.windows.items(self.chunk)
-        self.row = np.repeat(np.arange(len(self.chunk.ids)), np.diff(self.first))
+        self.n = int(self.first[-1])
         self.buckets = buckets
 
-    def _find_anchors(self) -> None:
+    def _row(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.first, at, "right") - 1
+
+    def _find_segments(self) -> Groups:
+        length = self.windows.length
+        mark = self.windows.boundaries()
+        long = np.flatnonzero(np.diff(self.first) >= length)
+        mark[self.first[long]] = True
+        starts = np.flatnonzero(mark)
+        row = self._row(starts)
+        stops = self.first[row + 1] - length + 1
+        inside = starts < stops
+        self.segment, row, stops = starts[inside], row[inside], stops[inside]
+        self.segment_stop = np.minimum(np.append(self.segment[1:], self.n), stops)
+        hashes, second = self.windows.spans(self.segment, self.segment_stop + length - 1)
+        return Groups(hashes, second, row, self.chunk.ids, self.buckets, self.windows.within)
+
+    def ask_segments(self):
+        return self._find_segments().ask()
+
+    def _open(self, answers: dict[int, bytes]) -> np.ndarray:
+        """Marks the starts of windows in open segments."""
+        self.closed = self._find_segments().repeated(answers)
+        edge = np.zeros(self.n + 1, np.int8)
+        edge[self.segment[~self.closed]] += 1
+        edge[self.segment_stop[~self.closed]] -= 1
+        return np.cumsum(edge[:-1], dtype=np.int8) > 0
+
+    def _find_anchors(self, segments: dict[int, bytes]) -> None:
         """Distinct anchor hashes by bucket: where they stand, whether indexed, whether repeated here."""
-        at, hashes, indexed = self.windows.anchors()
-        order = np.argsort(hashes, kind="stable")
-        hashes = hashes[order]
-        new = blocks.first_in_group(hashes)
-        begin = np.flatnonzero(new)
-        ids = self.chunk.ids[self.row[at[order]]]
-        count = np.diff(np.append(begin, len(hashes)))
-        if len(begin):
-            twice = count > 1 if self.windows.within else np.minimum.reduceat(ids, begin) != np.maximum.reduceat(ids, begin)
-            index = np.logical_or.reduceat(indexed[order], begin)
+        self.open = self._open(segments)
+        at, indexed = self.windows.anchors()
+        count = np.zeros(self.n + 1, np.int32)
+        np.cumsum(self.open, out=count[1:])
+        under = count[at + 1] > count[np.maximum(at - self.windows.reach, 0)]
+        self.anchor_at, indexed = at[under], indexed[under]
+        bits = self.buckets.bit_length() - 1
+        keys = min(32, 64 - _PLACE - bits)
+        value = self.windows.anchor_hashes(self.anchor_at) >> np.uint64(64 - bits - keys)
+        if len(value) < 1 << _PLACE:
+            word = np.sort(value << np.uint64(_PLACE) | np.arange(len(value), dtype=np.uint64))
+            order = (word & np.uint64((1 << _PLACE) - 1)).astype(np.int64)
+            value = word >> np.uint64(_PLACE)
         else:
-            twice = index = np.zeros(0, bool)
-        distinct = hashes[begin]
-        bucket = (distinct % np.uint64(self.buckets)).astype(np.int32)
-        by_bucket = np.argsort(bucket, kind="stable")
-        self.anchor_bucket = bucket[by_bucket]
-        self.anchor_key = (distinct[by_bucket] >> np.uint64(32)).astype(np.uint32)
-        self.anchor_index, self.anchor_twice = index[by_bucket], twice[by_bucket]
-        place = np.empty(len(distinct), np.int64)
-        place[by_bucket] = np.arange(len(distinct))
-        self.anchor_at = at
-        self.anchor_of = np.empty(len(hashes), np.int64)
-        self.anchor_of[order] = place[np.cumsum(new) - 1]
-
-    def ask_anchors(self):
-        self._find_anchors()
+            order = np.argsort(value, kind="stable")
+            value = value[order]
+        new = blocks.first_in_group(value)
+        begin = np.flatnonzero(new)
+        self.anchor_twice = np.diff(np.append(begin, len(value))) > 1
+        self.anchor_index = np.logical_or.reduceat(indexed[order], begin) if len(begin) else np.zeros(0, bool)
+        value = value[begin]
+        self.anchor_bucket = (value >> np.uint64(keys)).astype(np.int32)
+        self.anchor_key = (value & np.uint64((1 << keys) - 1)).astype(np.uint32)
+        self.anchor_at = self.anchor_at[order]
+        self.anchor_of = np.cumsum(new) - 1
+
+    def ask_anchors(self, segments: dict[int, bytes]):
+        self._find_anchors(segments)
         for bucket, a, b in _slices(self.anchor_bucket):
             yield bucket, self.anchor_key[a:b].tobytes(), np.packbits(self.anchor_index[a:b]).tobytes()
 
-    def _find_windows(self, answers: dict[int, bytes]) -> None:
-        """Windows around hits, in groups of equal ones; each group's first is of its smallest id."""
-        self._find_anchors()
-        hit = self.anchor_twice | _read(self.anchor_bucket, answers)
+    def _find_windows(self, segments: dict[int, bytes], anchors: dict[int, bytes]) -> Groups:
+        """Open windows around hits."""
+        self._find_anchors(segments)
+        hit = self.anchor_twice | _read(self.anchor_bucket, anchors)
         near = self.anchor_at[hit[self.anchor_of]]
-        row = self.row[near]
-        edge = np.zeros(len(self.row) + 1, np.int32)
-        np.add.at(edge, np.maximum(near - self.windows.reach(), self.first[row]), 1)
-        np.add.at(edge, near + 1, -1)
-        possible = np.cumsum(edge[:-1]) > 0
-        at = np.flatnonzero(possible)
-        at = at[at + self.windows.length <= self.first[self.row[at] + 1]]
-        hashes = self.windows.hashes(at, 1)
-        bucket = (self.windows.hashes(at, 2) % np.uint64(self.buckets)).astype(np.int32)
-        order = np.lexsort((hashes, bucket))
-        new = blocks.first_in_group(hashes[order]) | blocks.first_in_group(bucket[order])
-        self.at, group = at[order], np.cumsum(new) - 1
-        lead = order[new]
-        # Groups stand by bucket and then by place, which keeps equal ids together.
-        by_place = np.lexsort((lead, bucket[lead]))
-        place = np.empty(len(lead), np.int64)
-        place[by_place] = np.arange(len(lead))
-        self.group, self.again = place[group], ~new
-        lead = lead[by_place]
-        self.window_bucket, self.window_hash = bucket[lead], hashes[lead]
-        self.window_id = self.chunk.ids[self.row[at[lead]]]
+        edge = np.bincount(np.maximum(near - self.windows.reach, 0), minlength=self.n + 1)
+        edge[: self.n + 1] -= np.bincount(near + 1, minlength=self.n + 1)
+        self.window = np.flatnonzero((np.cumsum(edge[:-1]) > 0) & self.open)
+        return Groups(*self.windows.hashes(self.window), self._row(self.window), self.chunk.ids, self.buckets, self.windows.within)
 
-    def ask_windows(self, answers: dict[int, bytes]):
-        self._find_windows(answers)
-        for bucket, a, b in _slices(self.window_bucket):
-            ids = self.window_id[a:b]
-            begin = np.flatnonzero(blocks.first_in_group(ids))
-            runs = np.diff(np.append(begin, b - a)).astype(np.uint32)
-            yield bucket, self.window_hash[a:b].tobytes(), ids[begin].tobytes() + runs.tobytes()
+    def ask_windows(self, segments: dict[int, bytes], anchors: dict[int, bytes]):
+        return self._find_windows(segments, anchors).ask()
 
-    def covered(self, anchors: dict[int, bytes], windows: dict[int, bytes]) -> np.ndarray:
+    def covered(self, segments: dict[int, bytes], anchors: dict[int, bytes], windows: dict[int, bytes]) -> np.ndarray:
         """Marks the items that a repeated window covers."""
-        self._find_windows(anchors)
-        lost = _read(self.window_bucket, windows)
-        row = self.row[self.at]
-        repeat = lost[self.group] | (self.chunk.ids[row] > self.window_id[self.group])
-        if self.windows.within:
-            same = np.zeros(len(row), bool)
-            same[1:] = row[1:] == row[:-1]
-            repeat |= self.again & same
-        start = self.at[repeat]
-        edge = np.zeros(len(self.row) + 1, np.int32)
-        np.add.at(edge, start, 1)
-        np.add.at(edge, start + self.windows.length, -1)
+        repeated = self._find_windows(segments, anchors).repeated(windows)
+        length = self.windows.length
+        starts = np.concatenate([self.segment[self.closed], self.window[repeated]])
+        stops = np.concatenate([self.segment_stop[self.closed] + length - 1, self.window[repeated] + length])
+        edge = np.bincount(starts, minlength=self.n + 1) - np.bincount(stops, minlength=self.n + 1)
         return np.cumsum(edge[:-1]) > 0
 
 
+SEGMENTS, ANCHORS, WINDOWS = range(3)
+
+
 def _slices(bucket: np.ndarray):
     begin = np.flatnonzero(blocks.first_in_group(bucket))
     for a, b in zip(begin, np.append(begin, len(bucket))[1:], strict=True):
@@ -206,7 +265,7 @@ def match_anchors(rows: pa.Table) -> pa.Table:
     every = np.sort(keys)
     twice = every[1:][every[1:] == every[:-1]]
     hits = index[_within(index, twice)]
-    return _reply(rows, 0, sizes, _within(keys, hits))
+    return _reply(rows, ANCHORS, sizes, _within(keys, hits))
 
 
 def _within(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -216,8 +275,8 @@ def _within(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[at] == values
 
 
-def match_windows(rows: pa.Table) -> pa.Table:
-    """Windows of one bucket: those that a smaller id of another chunk has too."""
+def match_pieces(rows: pa.Table, step: int) -> pa.Table:
+    """Segments or windows of one bucket: those that a smaller id of another chunk has too."""
     keys = [np.frombuffer(x, np.uint64) for x in rows.column("x").to_pylist()]
     sizes = np.array([len(k) for k in keys])
     ids = []
@@ -230,7 +289,7 @@ def match_windows(rows: pa.Table) -> pa.Table:
     least = np.minimum.reduceat(ids[order], begin)
     lost = np.empty(len(keys), bool)
     lost[order] = ids[order] > np.repeat(least, np.diff(np.append(begin, len(keys))))
-    return _reply(rows, 1, sizes, lost)
+    return _reply(rows, step, sizes, lost)
 
 
 def repeats(docs: DataFrame, doc_id: str, text: str, kind: type[Windows], result, schema: str) -> DataFrame:
@@ -244,22 +303,32 @@ def repeats(docs: DataFrame, doc_id: str, text: str, kind: type[Windows], result
     answer_schema = "chunk int, bucket int, step int, bits binary"
 
     def first(key, table):
-        return _packed(Work(kind, buckets, table).ask_anchors(), key[0].as_py())
+        return _packed(Work(kind, buckets, table).ask_segments(), key[0].as_py())
 
     def second(key, table, answers):
         if table.num_rows == 0:
             return _packed([], 0)
-        return _packed(Work(kind, buckets, table).ask_windows(_answers(answers, 0)), key[0].as_py())
+        return _packed(Work(kind, buckets, table).ask_anchors(_answers(answers, SEGMENTS)), key[0].as_py())
+
+    def third(key, table, answers):
+        if table.num_rows == 0:
+            return _packed([], 0)
+        return _packed(Work(kind, buckets, table).ask_windows(_answers(answers, SEGMENTS), _answers(answers, ANCHORS)), key[0].as_py())
 
     def last(key, table, answers):
         if table.num_rows == 0:
             return result(None, None)
         work = Work(kind, buckets, table)
-        return result(work, work.covered(_answers(answers, 0), _answers(answers, 1)))
+        return result(work, work.covered(*(_answers(answers, step) for step in (SEGMENTS, ANCHORS, WINDOWS))))
 
     by_chunk = rows.groupBy("chunk")
-    anchors = by_chunk.applyInArrow(first, asked_schema).groupBy("bucket").applyInArrow(match_anchors, answer_schema)
-    anchors = anchors.repartition(shuffle_partitions(docs.sparkSession), "chunk")
-    windows = by_chunk.cogroup(anchors.groupBy("chunk")).applyInArrow(second, asked_schema)
-    windows = windows.groupBy("bucket").applyInArrow(match_windows, answer_schema)
-    return by_chunk.cogroup(anchors.union(windows).groupBy("chunk")).applyInArrow(last, schema)
+
+    def answered(asked: DataFrame, reply) -> DataFrame:
+        found = asked.groupBy("bucket").applyInArrow(reply, answer_schema)
+        return found.repartition(shuffle_partitions(docs.sparkSession), "chunk")
+
+    segments = answered(by_chunk.applyInArrow(first, asked_schema), lambda t: match_pieces(t, SEGMENTS))
+    anchors = answered(by_chunk.cogroup(segments.groupBy("chunk")).applyInArrow(second, asked_schema), match_anchors)
+    both = segments.union(anchors)
+    windows = answered(by_chunk.cogroup(both.groupBy("chunk")).applyInArrow(third, asked_schema), lambda t: match_pieces(t, WINDOWS))
+    return by_chunk.cogroup(both.union(windows).groupBy("chunk")).applyInArrow(last, schema)

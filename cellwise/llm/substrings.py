@@ -31,26 +31,46 @@ _SAMPLED = np.isin(np.arange(PERIOD), COVER)
 class ByteWindows(Windows):
     length = LENGTH
     within = False
+    reach = LENGTH - _PREFIX
 
     def items(self, chunk: Chunk) -> np.ndarray:
         self.offsets, self.data = chunk.offsets, chunk.data
-        self.sums = blocks.rolling(21).sums(chunk.data)
+        # The eight bytes from each position on as one number; blanks follow the last.
+        padded = np.concatenate([chunk.data, np.full(15, 32, np.uint8)])
+        whole = len(padded) // 8 - 1
+        self.eight = np.empty(8 * whole, np.uint64)
+        for shift in range(8):
+            self.eight[shift::8] = padded[shift : shift + 8 * whole].view("<u8")
         return chunk.offsets
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def boundaries(self) -> np.ndarray:
+        """A position of every 64 or so, by the eight bytes that follow."""
+        return ((self.eight[: len(self.data)] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(58)) == 0
+
+    def spans(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        roll = blocks.rolling(21)
+        return roll.windows(roll.sums(self.data), starts, ends), blocks.mix(self._joined(starts, (0, 16, 42), 7) + (ends - starts).astype(np.uint64))
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.diff(self.offsets)
-        place = np.arange(len(self.data)) - np.repeat(self.offsets[:-1], sizes)
-        at = np.flatnonzero(_SAMPLED[place % PERIOD])
-        at = at[place[at] + _PREFIX <= np.repeat(sizes, sizes)[at]]
-        return at, blocks.rolling(21).windows(self.sums, at, _PREFIX), np.ones(len(at), bool)
+        pattern = (np.arange(sizes.max(initial=0) // PERIOD + 1)[:, None] * PERIOD + np.array(COVER)).ravel()
+        ends = np.searchsorted(pattern, sizes - _PREFIX, "right")
+        at = np.concatenate([np.zeros(0, np.int64), *(pattern[:n] + o for n, o in zip(ends, self.offsets, strict=False))])
+        return at, np.ones(len(at), bool)
+
+    def anchor_hashes(self, at: np.ndarray) -> np.ndarray:
+        return self._joined(at, (0, 8, _PREFIX - 8), 3)
 
-    def reach(self) -> int:
-        return LENGTH - _PREFIX
+    def hashes(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        parts = (*range(0, LENGTH - 8, 8), LENGTH - 8)
+        return self._joined(starts, parts, 5), self._joined(starts, parts, 9)
 
-    def hashes(self, starts: np.ndarray, seed: int) -> np.ndarray:
-        if seed == 1:
-            return blocks.rolling(21).windows(self.sums, starts, LENGTH)
-        return blocks.rolling(22).windows(blocks.rolling(22).sums(self.data), starts, LENGTH)
+    def _joined(self, at: np.ndarray, parts: tuple[int, ...], seed: int) -> np.ndarray:
+        """A hash of the eight bytes at some distances from each position."""
+        out = np.full(len(at), seed, np.uint64)
+        for part in parts:
+            out = blocks.mix(out * np.uint64(0x9E3779B97F4A7C15) + self.eight[at + part])
+        return out
 
 
 def _result(work: Work | None, covered: np.ndarray | None) -> pa.Table:
@@ -66,8 +86,7 @@ def _result(work: Work | None, covered: np.ndarray | None) -> pa.Table:
     begins[inner] = covered[inner]
     spans = np.concatenate([[0], np.cumsum(begins)])
     kept = [data[a:b][~covered[a:b]].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-    keys = work.chunk.keys.combine_chunks() if isinstance(work.chunk.keys, pa.ChunkedArray) else work.chunk.keys
-    return pa.Table.from_arrays([keys, pa.array(np.diff(offsets)), pa.array(np.diff(count[offsets])), pa.array(np.diff(spans[offsets])), pa.array(kept, pa.binary())], names)
+    return pa.Table.from_arrays([work.chunk.keys, pa.array(np.diff(offsets)), pa.array(np.diff(count[offsets])), pa.array(np.diff(spans[offsets])), pa.array(kept, pa.binary())], names)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
