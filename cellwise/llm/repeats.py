@@ -27,6 +27,7 @@ from abc import ABC, abstractmethod
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,8 @@ CHUNK_BYTES = 3 << 20
 BUCKET_BYTES = 4 << 20
 LEAST = 256
 NO_ID = np.iinfo(np.int64).max
+# Bytes sent of a piece's hash; the bucket, from another hash, adds at least eight bits to them.
+_HASH_BYTES = 7
 # Bits that number the anchors of a chunk, beside those of bucket and key in one sorted word.
 _PLACE = 22
 
@@ -45,7 +48,9 @@ class Chunk:
     """The rows of one chunk by id and text; rows without an id come last and count as one id."""
 
     def __init__(self, rows: pa.Table):
-        rows = rows.sort_by([("k", "ascending"), ("t", "ascending")]).combine_chunks()
+        packed = rows.column("z").to_pylist()
+        texts = pa.array([zstandard.decompress(z) for z in packed], pa.binary())
+        rows = pa.table({"k": rows.column("k"), "t": texts}).sort_by([("k", "ascending"), ("t", "ascending")]).combine_chunks()
         self.keys = pa.concat_arrays(rows.column("k").chunks) if rows.num_rows else pa.array([], pa.int64())
         self.data, self.offsets = blocks.text_bytes(rows.column("t"))
         self.ids = self.keys.fill_null(NO_ID).to_numpy().astype(np.int64)
@@ -114,7 +119,7 @@ class Groups:
             ids = self.id[a:b]
             begin = np.flatnonzero(blocks.first_in_group(ids))
             runs = np.diff(np.append(begin, b - a)).astype(np.uint32)
-            yield bucket, self.hash[a:b].tobytes(), ids[begin].tobytes() + runs.tobytes()
+            yield bucket, _narrow(self.hash[a:b], _HASH_BYTES), ids[begin].tobytes() + runs.tobytes()
 
     def repeated(self, answers: dict[int, bytes]) -> np.ndarray:
         """Marks the pieces that an earlier place has too."""
@@ -170,7 +175,7 @@ class Work:
         under = count[at + 1] > count[np.maximum(at - self.windows.reach, 0)]
         self.anchor_at, indexed = at[under], indexed[under]
         bits = self.buckets.bit_length() - 1
-        keys = min(32, 64 - _PLACE - bits)
+        keys = min(30, 64 - _PLACE - bits)
         value = self.windows.anchor_hashes(self.anchor_at) >> np.uint64(64 - bits - keys)
         if len(value) < 1 << _PLACE:
             word = np.sort(value << np.uint64(_PLACE) | np.arange(len(value), dtype=np.uint64))
@@ -192,7 +197,7 @@ class Work:
     def ask_anchors(self, segments: dict[int, bytes]):
         self._find_anchors(segments)
         for bucket, a, b in _slices(self.anchor_bucket):
-            yield bucket, self.anchor_key[a:b].tobytes(), np.packbits(self.anchor_index[a:b]).tobytes()
+            yield bucket, _ascending(self.anchor_key[a:b]), np.packbits(self.anchor_index[a:b]).tobytes()
 
     def _find_windows(self, segments: dict[int, bytes], anchors: dict[int, bytes]) -> Groups:
         """Open windows around hits."""
@@ -226,6 +231,28 @@ def _slices(bucket: np.ndarray):
         yield int(bucket[a]), a, b
 
 
+def _narrow(values: np.ndarray, width: int) -> bytes:
+    """The low bytes of 64-bit or 32-bit numbers."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1)[:, :width]).tobytes()
+
+
+def _wide(data: bytes, width: int, kind: type) -> np.ndarray:
+    out = np.zeros((len(data) // width, np.dtype(kind).itemsize), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.view(kind)[:, 0]
+
+
+def _ascending(keys: np.ndarray) -> bytes:
+    """Increasing numbers as their differences, in three bytes each where that is enough."""
+    steps = np.diff(keys, prepend=np.uint32(0))
+    width = 3 if steps.max(initial=0) < 1 << 24 else 4
+    return bytes([width]) + _narrow(steps, width)
+
+
+def _ascended(data: bytes) -> np.ndarray:
+    return np.cumsum(_wide(data[1:], data[0], np.uint32), dtype=np.uint32)
+
+
 def _read(bucket: np.ndarray, answers: dict[int, bytes]) -> np.ndarray:
     """One bit for each asked item; a bucket without an answer says no to all."""
     out = np.zeros(len(bucket), bool)
@@ -254,9 +281,17 @@ def _reply(rows: pa.Table, step: int, sizes: np.ndarray, bits: np.ndarray) -> pa
     return pa.Table.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["chunk", "bucket", "step", "bits"])
 
 
+def _compressed(batches):
+    """Texts as they are shuffled; null is empty."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in blocks.cut(batches, "t"):
+        packed = [packer.compress((t or "").encode()) for t in batch.column("t").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("chunk"), pa.array(packed, pa.binary())], ["k", "chunk", "z"])
+
+
 def match_anchors(rows: pa.Table) -> pa.Table:
     """Anchors of one bucket: those whose hash is indexed and was sent by two chunks."""
-    keys = [np.frombuffer(x, np.uint32) for x in rows.column("x").to_pylist()]
+    keys = [_ascended(x) for x in rows.column("x").to_pylist()]
     sizes = np.array([len(k) for k in keys])
     indexed = np.concatenate([np.unpackbits(np.frombuffer(y, np.uint8), count=n) for y, n in zip(rows.column("y").to_pylist(), sizes, strict=True)]).astype(bool)
     keys = np.concatenate(keys)
@@ -277,7 +312,7 @@ def _within(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 def match_pieces(rows: pa.Table, step: int) -> pa.Table:
     """Segments or windows of one bucket: those that a smaller id of another chunk has too."""
-    keys = [np.frombuffer(x, np.uint64) for x in rows.column("x").to_pylist()]
+    keys = [_wide(x, _HASH_BYTES, np.uint64) for x in rows.column("x").to_pylist()]
     sizes = np.array([len(k) for k in keys])
     ids = []
     for y in rows.column("y").to_pylist():
@@ -299,6 +334,7 @@ def repeats(docs: DataFrame, doc_id: str, text: str, kind: type[Windows], result
     buckets = 1 << (max(LEAST, -(-size // BUCKET_BYTES)) - 1).bit_length()
     rows = docs.select(F.col(doc_id).cast("bigint").alias("k"), F.col(text).alias("t"))
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("k", "t"), F.lit(chunks)).cast("int"))
+    rows = rows.mapInArrow(_compressed, "k bigint, chunk int, z binary")
     asked_schema = "chunk int, bucket int, x binary, y binary"
     answer_schema = "chunk int, bucket int, step int, bits binary"
 
