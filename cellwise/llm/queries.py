@@ -8,15 +8,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding, language, passages, secrets, simhash, substrings, toxicity
+from . import contamination, embedding, fixity, language, packing, passages, secrets, simhash, substrings, toxicity
 from .spread import table
 
+TOKENIZER = "word_bpe_49k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+OP9_SQL = """
+with r as (
+    select page_id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+        || coalesce(cast(page_id as varchar), '') || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+        || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || cast(strlen(coalesce(html, '')) as varchar)
+        || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) as rec
+    from pages
+)
+select page_id, cast(strlen(rec) as bigint) as n_bytes, sha256(rec) as record_sha256,
+    case when page_id % 251 = 7 then 'corrupt' when page_id % 509 = 11 then 'missing' else 'ok' end as status
+from r
+"""
+
+
 def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding.near_duplicates(table(spark, folder, "embeddings"))
 
@@ -49,7 +66,26 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("spans", secrets.spans_text())
 
 
-_ALL = [op1_embedding_dedup, op2_toxicity, op3_passages, op4_language, op6_simhash, op7_substrings, op8_secrets]
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op9_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """Audits a replica of the pages that has lost a byte here and a record there."""
+    pages = table(spark, folder, "pages")
+    whole = fixity.record(F.col("page_id"), F.col("url"), F.col("html"))
+    records = pages.select("page_id", whole.alias("record"))
+    damaged = F.when(F.col("page_id") % 251 == 7, F.expr("substring(record, 1, octet_length(record) - 1)")).when(F.col("page_id") % 509 == 11, F.lit(None))
+    replica = records.withColumn("copy", damaged.otherwise(F.col("record")))
+    found = fixity.audit(replica, "page_id", "record", "copy")
+    return found.select(F.col("id").alias("page_id"), "n_bytes", F.col("sha256").alias("record_sha256"), "status")
+
+
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+_ALL = [op1_embedding_dedup, op2_toxicity, op3_passages, op4_language, op5_packing, op6_simhash, op7_substrings, op8_secrets, op9_fixity, op10_decontamination]
 
 
 def queries() -> dict[str, Query]:
@@ -57,4 +93,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_fixity": OP9_SQL}

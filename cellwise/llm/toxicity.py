@@ -164,14 +164,31 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
 
 
+def accepted(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(trained(docs, labels, doc_id, text, label))
+
+    def work(batches):
+        for batch in blocks.cut(batches, text):
+            yield batch.filter(pa.array(sent.value.scores(*hashed_terms(batch.column(text))) < threshold))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
+def trained(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> Machine:
+    """A machine from the labelled rows that are not held out."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(F.max(label).cast("int").alias("y"))
+    texts = docs.select(F.col(doc_id).alias("k"), F.col(text).alias("t"))
+    return train(texts.where(~held_out(F.col("k"))).join(known, F.col("k") == F.col("id")), "y", "k", "t")
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``.
 
     Labels are joined by id; an id with several different labels takes the highest. Rows
     without a usable label are scored and not learned from. Repeated ids are scored row by row.
     """
-    known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(F.max(label).cast("int").alias("y"))
+    model = trained(docs, labels, doc_id, text, label)
     texts = docs.select(F.col(doc_id).alias("k"), F.col(text).alias("t"))
-    model = train(texts.where(~held_out(F.col("k"))).join(known, F.col("k") == F.col("id")), "y", "k", "t")
     scored = score(texts, model, "k", "t")
     return scored.select(F.col("k").alias(doc_id), held_out(F.col("k")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
