@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 # The white space that separates words: bytes 9 to 13 and 32.
 SPACE = np.zeros(256, bool)

@@ -103,6 +103,15 @@ class Index:
         keys, owners = np.concatenate(keys), np.concatenate(owners)
         order = np.argsort(keys, kind="stable")
         self.keys, self.owners = keys[order], owners[order]
+        self.size = np.array([len(w) for w in self.items], np.int64)
+        self.edit = np.array(self.edits, np.int64)
+        # The pairs that a run within the edits must keep, and which items have which pair.
+        self.least = np.maximum(self.size - 1 - 2 * self.edit, 0)
+        owner = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
+        flat = np.concatenate([np.zeros(0, np.uint64), *pairs])
+        order = np.lexsort((owner, flat))
+        fresh = blocks.first_in_group(flat[order]) | blocks.first_in_group(owner[order])
+        self.pair_keys, self.pair_items = flat[order][fresh], owner[order][fresh].astype(np.int64)
         self.masks = [masks(w) for w in self.items]
 
 
@@ -172,32 +181,51 @@ def found_items(index: Index, words: np.ndarray, first: np.ndarray) -> list[list
     reach = STARTS + max(index.edits)
     edge = np.bincount(starts, minlength=len(words) + 1) - np.bincount(np.minimum(starts + reach, len(words)), minlength=len(words) + 1)
     starts = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-    checked: set[tuple[int, int, int]] = set()
+    places = _item_pairs(index, words, hit)
     for at in range(0, len(starts), 50_000):
         own = starts[at : at + 50_000]
-        for _, key, rows in signatures(words, own, first[row[own] + 1]):
-            low = np.searchsorted(index.keys, key)
-            known = low < len(index.keys)
-            known[known] = index.keys[low[known]] == key[known]
-            rows, key, low = rows[known], key[known], low[known]
-            high = np.searchsorted(index.keys, key, "right")
-            for p, a, b in zip(own[rows].tolist(), low.tolist(), high.tolist(), strict=True):
-                r = int(row[p])
-                for owner in index.owners[a:b].tolist():
-                    item = int(index.item[owner])
-                    begin = p - int(index.start[owner])
-                    slack = index.edits[item] + 4
-                    mark = (r, item, begin // 4)
-                    if index.ids[item] in found[r] or mark in checked:
-                        continue
-                    checked.add(mark)
-                    lower = max(int(first[r]), begin // 4 * 4 - slack)
-                    upper = min(int(first[r + 1]), begin + len(index.items[item]) + 2 * slack)
-                    if best_distance(index.masks[item], len(index.items[item]), words[lower:upper].tolist()) <= index.edits[item]:
-                        found[r].add(index.ids[item])
+        item, begin = _candidates(index, words, own, first[row[own] + 1])
+        text = row[np.clip(begin[:, 1], 0, len(row) - 1)]
+        lower, upper = np.maximum(first[text], begin[:, 0]), np.minimum(first[text + 1], begin[:, 2])
+        kept = np.searchsorted(places, item * (len(words) + 1) + upper) - np.searchsorted(places, item * (len(words) + 1) + lower) >= index.least[item]
+        for i, r, a, b in zip(item[kept].tolist(), text[kept].tolist(), lower[kept].tolist(), upper[kept].tolist(), strict=True):
+            if index.ids[i] not in found[r] and best_distance(index.masks[i], len(index.items[i]), words[a:b].tolist()) <= index.edits[i]:
+                found[r].add(index.ids[i])
     return [sorted(f) for f in found]
 
 
+def _item_pairs(index: Index, words: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    """Sorted item * (words + 1) + place of every place where a pair of that item stands."""
+    at = np.flatnonzero(np.diff(hit))
+    pair = pair_hashes(words)[at] if len(at) else np.zeros(0, np.uint64)
+    low, high = (np.searchsorted(index.pair_keys, pair, side) for side in ("left", "right"))
+    counts = high - low
+    which = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum()) if len(at) else np.zeros(0, np.int64)
+    return np.sort(index.pair_items[which] * (len(words) + 1) + np.repeat(at, counts))
+
+
+def _candidates(index: Index, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items and (from, matched start, to) of the windows that share a sampled key with them."""
+    marks = [np.zeros((0, 3), np.int64)]
+    for _, key, rows in signatures(words, starts, ends):
+        low, high = (np.searchsorted(index.keys, key, side) for side in ("left", "right"))
+        counts = high - low
+        known = counts > 0
+        low, counts = low[known], counts[known]
+        which = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum()) if len(low) else np.zeros(0, np.int64)
+        owner = index.owners[which]
+        start = np.repeat(starts[rows[known]], counts)
+        marks.append(np.stack([index.item[owner], (start - index.start[owner]) // 4, start], 1))
+    found = np.concatenate(marks)
+    # One of the windows that begin within four words of one another stands for them all.
+    key = found[:, 0] * (len(words) + 2 * STARTS) + found[:, 1] + STARTS
+    _, lead = np.unique(key, return_index=True)
+    found = found[lead]
+    item, begin = found[:, 0], found[:, 1] * 4
+    slack = index.edit[item] + 4
+    return item, np.stack([begin - slack, found[:, 2], begin + 4 + index.size[item] + 2 * slack], 1)
+
+
 def item_blocks(items: DataFrame, item_id: str, text: str, similarity: float):
     """Indexes of the items, each of texts of at most about ITEM_BYTES."""
     rows = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t")).where("i is not null and t is not null")

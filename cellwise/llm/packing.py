@@ -27,13 +27,19 @@ from .spread import durable
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 RANK_ROWS = 20_000
 
 # A full stop or comma that ends a word is a piece of its own to the tokenizer.
 _STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?=[\x09-\x0d\x20]|$)")
 
 
+_LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+# The byte-level alphabet: bytes that are not printable in Latin-1 are the characters from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
 class Encoder:
     """Token ids of texts, word by word with a cache.
 
@@ -45,6 +51,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The merges alone, for words that are letters only: they need no splitting.
+        self.merges = Tokenizer(self.tokenizer.model)
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -60,13 +68,30 @@ class Encoder:
         new = list({w for own in words for w in own}.difference(self.known))
         for at in range(0, len(new), 10_000):
             part = new[at : at + 10_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, ids in zip(part, found, strict=True):
-                self.known[word] = np.array(ids.ids, "<u4").tobytes()
+            plain = [_letters(w) for w in part]
+            self._learn([w for w, p in zip(part, plain, strict=True) if p], [p for p in plain if p], self.merges)
+            rest = [w for w, p in zip(part, plain, strict=True) if not p]
+            self._learn(rest, [w.decode() for w in rest], self.tokenizer)
         get = self.known.__getitem__
         return [b"".join(map(get, own)) for own in words]
 
 
+    def _learn(self, words: list[bytes], texts: list[str], tokenizer) -> None:
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for word, ids in zip(words, found, strict=True):
+            self.known[word] = np.array(ids.ids, "<u4").tobytes()
+
+
+def _letters(word: bytes) -> str | None:
+    """A lower-case word of ASCII or Latin-1 letters in the byte alphabet of the merges, else None."""
+    if word.isalpha() and word.islower():
+        return word.decode()
+    text = word.decode()
+    if _LATIN.fullmatch(text):
+        return word.decode("latin-1").translate(_BYTES)
+    return None
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
