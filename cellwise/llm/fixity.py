@@ -18,6 +18,9 @@ from cellwise.session import durable, sized
 
 FAN_OUT = 16
 FILE_RECORDS = 2_000
+# The digest of a record that is not there, as long as others so that no two lists of children
+# join to the same bytes.
+MISSING = bytes(32)
 
 
 def record(page_id: Column, url: Column, html: Column) -> Column:
@@ -34,10 +37,10 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
 def leaves(records: DataFrame, record_id: str, original: str, copy: str) -> DataFrame:
     """(node, id, first, last, a, b): records in order, their offset ranges and both digests.
 
-    A missing (null) original or copy has an empty digest. Files take about FILE_RECORDS
+    A missing (null) original or copy has the digest MISSING. Files take about FILE_RECORDS
     records each; ``node`` numbers file by file.
     """
-    hashed = records.select(F.col(record_id).alias("id"), F.coalesce(F.octet_length(original), F.lit(0)).cast("bigint").alias("size"), *(F.coalesce(F.unhex(F.sha2(F.col(c), 256)), F.lit(b"")).alias(n) for c, n in ((original, "a"), (copy, "b"))))
+    hashed = records.select(F.col(record_id).alias("id"), F.coalesce(F.octet_length(original), F.lit(0)).cast("bigint").alias("size"), *(F.coalesce(F.unhex(F.sha2(F.col(c), 256)), F.lit(MISSING)).alias(n) for c, n in ((original, "a"), (copy, "b"))))
     hashed = durable(hashed)
     files = hashed.count() // FILE_RECORDS + 1
     hashed = hashed.withColumn("file", F.pmod(F.xxhash64("id", "a"), F.lit(files)))
@@ -81,6 +84,6 @@ def audit(records: DataFrame, record_id: str, original: str, copy: str) -> DataF
         below = level.join(wrong.withColumnRenamed("node", "up"), F.floor(F.col("node") / FAN_OUT) == F.col("up"), "left_semi")
         wrong, _ = sized(below.where(differs).select("node"))
     found = levels[0].join(wrong.withColumn("bad", F.lit(True)), "node", "left")
-    missing = (F.length("a") == 0) | (F.length("b") == 0)
+    missing = (F.col("a") == F.lit(MISSING)) | (F.col("b") == F.lit(MISSING))
     status = F.when(F.col("bad").isNull(), "ok").when(missing, "missing").otherwise("corrupt")
     return found.select("id", (F.col("last") - F.col("first")).alias("n_bytes"), "first", "last", F.lower(F.hex("a")).alias("sha256"), status.alias("status"))
