@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,9 +30,18 @@ def _named(name: str, ranks: Column) -> Column:
     return F.transform(ranks, lambda r: F.struct(F.lit(name).alias("pick"), r.alias("rank")))
 
 
-def order_statistics(df: DataFrame, keys: list[str], value: str, picks: dict) -> DataFrame:
+def joined_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join on keys of which NULLs match one another, as they do in a grouping."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(other, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
+def order_statistics(df: DataFrame, keys: list[str], value: str, picks: dict, single: bool = False) -> DataFrame:
     """Per group, one column for each pick: the mean of the values at the ranks it names.
 
+    With ``single`` each pick names one rank, and its value comes back in its own type.
+
     ``picks`` maps a column name to a function from the group's count to 0-based ranks.
 
     A rank needs the whole group in order, which for a hot group is more than one task
@@ -57,7 +69,7 @@ def order_statistics(df: DataFrame, keys: list[str], value: str, picks: dict) ->
         .groupBy(*keys, "_b")
         .agg(F.collect_list(F.struct("_pick", "_r")).alias("_targets"))
     )
-    walked = ranged.join(targets, [*keys, "_b"]).withColumn(
+    walked = joined_on(ranged, targets, [*keys, "_b"]).withColumn(
         "_upto", F.sum("_c").over(Window.partitionBy(*keys, "_b").orderBy("_x"))
     )
     hits = walked.select(
@@ -68,5 +80,5 @@ def order_statistics(df: DataFrame, keys: list[str], value: str, picks: dict) ->
         ).alias("_hit"),
     )
     return hits.groupBy(*keys).agg(
-        *[F.avg(F.when(F.col("_hit._pick") == name, F.col("_x"))).alias(name) for name in picks]
+        *[(F.max if single else F.avg)(F.when(F.col("_hit._pick") == name, F.col("_x"))).alias(name) for name in picks]
     )

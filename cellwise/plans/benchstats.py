@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwise.operators.ranks import middle_ranks, nearest_ranks, order_statistics
+from cellwise.operators.ranks import joined_on, middle_ranks, nearest_ranks, order_statistics
 
 # Columns of the summary tables, in order.
 _RUN = ["jobs", "stages", "tasks", "shuffle_read_bytes", "shuffle_write_bytes", "input_bytes", "output_bytes",
@@ -48,7 +48,7 @@ def trial_summary(trials: DataFrame, keys: list[str], ms: str) -> DataFrame:
         F.max(ms).alias("max"),
         F.coalesce(F.stddev_pop(ms), F.lit(0.0)).alias("std"),
     )
-    joined = spread.join(medians, keys, "left")
+    joined = joined_on(spread, medians, keys, "left")
     return joined.select(*keys, "trials", F.coalesce("median", F.lit(0.0)).alias("median"), "min", "max", "std")
 
 
@@ -173,4 +173,4 @@ def event_log_rollup(lines: DataFrame) -> DataFrame:
     )
     ranks = nearest_rank(flat, ["label"], "run_ms", TASK_SHARES)
     shares = [F.coalesce(F.col(name).cast("bigint"), F.lit(0)).alias(name) for name in TASK_SHARES]
-    return sums.join(ranks, "label", "left").select("label", *_RUN[:10], *shares, "max_ms")
+    return joined_on(sums, ranks, ["label"], "left").select("label", *_RUN[:10], *shares, "max_ms")

@@ -152,11 +152,12 @@ def read_vector(
     orientation: str = "auto",
     mode: str = "lenient",
     sparse: bool = False,
+    first_line_only: bool = False,
 ) -> Vector:
     """Text vector.
 
-    ``column`` is one number per line, ``row`` one line of numbers (further lines are
-    ignored), ``auto`` decides by a comma in the first line that is not blank. Lenient
+    ``column`` is one number per line, ``row`` one line of numbers (further lines are an
+    error, unless ``first_line_only`` says to leave them), ``auto`` decides by a comma in the first line that is not blank. Lenient
     input skips tokens that are no number but keeps their index; strict input drops
     lines that are not numeric and fails on a column line with several values.
     """
@@ -169,6 +170,8 @@ def read_vector(
     if orientation == "auto":
         orientation = "row" if head.comma else "column"
     if orientation == "row":
+        if not first_line_only and lines.where("row = 1").head() is not None:
+            raise ValueError("not a row vector: there are several lines")
         n = head.width
         pairs = first.select(F.posexplode(filled_tokens(F.col("value"))).alias("k", "t"))
     elif orientation == "column":

@@ -22,7 +22,7 @@ from cellwise.sources import generate, text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-POWER_STEPS = 3
+POWER_STEPS = 20
 SEGMENT = 512
 
 

@@ -102,3 +102,14 @@ def test_event_log(spark, tmp_path):
         "output_bytes": 20, "mem_spill_bytes": 8, "disk_spill_bytes": 12, "gc_ms": 4, "p50_ms": 30, "p90_ms": 40,
         "p99_ms": 40, "max_ms": 40,
     }
+
+
+def test_groups_without_a_key_have_their_own_statistics(spark):
+    trials = spark.createDataFrame([(None, 5.0), (None, 9.0), ("a", 1.0)], "name string, ms double")
+    found = {r["name"]: (r["trials"], r["median"]) for r in bs.trial_summary(trials, ["name"], "ms").collect()}
+    assert found == {None: (2, 7.0), "a": (1, 1.0)}
+
+
+def test_picked_ranks_keep_their_type(spark):
+    rows = spark.createDataFrame([(None, 9007199254740993)], "label string, x bigint")
+    assert bs.nearest_rank(rows, ["label"], "x", {"p50": 0.5}).collect()[0]["p50"] == 9007199254740993

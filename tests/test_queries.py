@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from checks import oracle, queries
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings", "documents", "pages", "benchmark", "labels", "conversations"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
 
@@ -36,7 +37,7 @@ def test_same_rows_and_types_as_sql(spark, database, name):
 
 
 def test_only_the_checksum_has_no_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"checksum"}
+    assert set(queries.queries()) - set(oracle.oracle_sql()) == {"checksum"}
 
 
 def test_entry(spark):

@@ -97,7 +97,10 @@ def test_vectors_in_both_layouts(spark, tmp_path):
         assert text.read_vector(spark, path, sparse=True).df.count() == 2
     skipping = text.read_vector(spark, text_file(tmp_path / "s.csv", "3\nx\n\n5\n"))
     assert {r.k: r.x for r in skipping.df.collect()} == {0: 3.0, 2: 5.0}
-    first_only = text.read_vector(spark, text_file(tmp_path / "f.csv", "\n1,2\n3,4\n"))
+    several = text_file(tmp_path / "f.csv", "\n1,2\n3,4\n")
+    with pytest.raises(ValueError, match="several lines"):
+        text.read_vector(spark, several)
+    first_only = text.read_vector(spark, several, first_line_only=True)
     assert values(first_only).tolist() == [1, 2]
     strict = text.read_vector(spark, text_file(tmp_path / "t.csv", "# x\n3\n5\n"), "column", "strict")
     assert values(strict).tolist() == [3, 5]
