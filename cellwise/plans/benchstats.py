@@ -36,7 +36,7 @@ def guarded_ratio(over: Column, under: Column) -> Column:
 
 def nearest_rank(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
     """Per group, the element at rank round((n - 1) * share) for each named share."""
-    return order_statistics(df, keys, value, {name: nearest_ranks(share) for name, share in shares.items()})
+    return order_statistics(df, keys, value, {name: nearest_ranks(share) for name, share in shares.items()}, single=True)
 
 
 def trial_summary(trials: DataFrame, keys: list[str], ms: str) -> DataFrame:
