@@ -113,6 +113,11 @@ class Index:
         fresh = blocks.first_in_group(flat[order]) | blocks.first_in_group(owner[order])
         self.pair_keys, self.pair_items = flat[order][fresh], owner[order][fresh].astype(np.int64)
         self.masks = [masks(w) for w in self.items]
+        # The same for items of one machine word, by a key of item and word.
+        short = [(i, w, m) for i, own in enumerate(self.masks) if self.size[i] <= 64 for w, m in own.items()]
+        keys = _place_keys(np.array([i for i, _, _ in short], np.int64), np.array([w for _, w, _ in short], np.uint64))
+        order = np.argsort(keys)
+        self.place_keys, self.place_masks = keys[order], np.array([m for _, _, m in short], np.uint64)[order]
 
 
 def pair_hashes(words: np.ndarray) -> np.ndarray:
@@ -139,21 +144,53 @@ def masks(words: np.ndarray) -> dict[int, int]:
     return out
 
 
-def best_distance(places: dict[int, int], n: int, text: list[int]) -> int:
-    """The least edit distance of an item of n words to any run of the text (bit-parallel)."""
+def _place_keys(item: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return blocks.mix(words + item.astype(np.uint64) * _constant(3))
+
+
+def all_within_edits(index: Index, words: np.ndarray, item: np.ndarray, lower: np.ndarray, upper: np.ndarray) -> np.ndarray:
+    """``within_edits`` of many items of at most 64 words, each in its run [lower, upper) of the words."""
+    size = index.size[item].astype(np.uint64)
+    every, top, one = ~np.uint64(0) >> (np.uint64(64) - size), np.uint64(1) << (size - np.uint64(1)), np.uint64(1)
+    up, down, distance = every.copy(), np.zeros(len(item), np.uint64), index.size[item].copy()
+    near = distance <= index.edit[item]
+    for step in range(int((upper - lower).max(initial=0))):
+        inside = lower + step < upper
+        key = _place_keys(item, words[np.minimum(lower + step, len(words) - 1)])
+        at = np.minimum(np.searchsorted(index.place_keys, key), len(index.place_keys) - 1)
+        equal = np.where(index.place_keys[at] == key, index.place_masks[at], np.uint64(0))
+        cross = equal | down
+        level = (((equal & up) + up) ^ up) | equal
+        rise, fall = down | (~(level | up) & every), up & level
+        distance += (rise & top != 0).astype(np.int64) - (fall & top != 0)
+        near |= inside & (distance <= index.edit[item])
+        # A run may begin anywhere: the first row stays zero, so nothing is carried in.
+        rise, fall = rise << one & every, fall << one & every
+        up, down = fall | (~(cross | rise) & every), rise & cross
+    return near
+
+
+def within_edits(places: dict[int, int], n: int, text: list[int], edits: int) -> bool:
+    """Whether an item of n words is within so many edits of some run of the text (bit-parallel)."""
+    # Such a run keeps all words of the item but one for each edit.
+    if sum(map(places.__contains__, text)) < n - edits:
+        return False
     all_bits, top = (1 << n) - 1, 1 << (n - 1)
-    up, down, distance, best = all_bits, 0, n, n
+    up, down, distance = all_bits, 0, n
+    if distance <= edits:
+        return True
     for word in text:
         equal = places.get(word, 0)
         cross = equal | down
         level = (((equal & up) + up) ^ up) | equal
         rise, fall = down | ~(level | up) & all_bits, up & level
         distance += bool(rise & top) - bool(fall & top)
-        best = min(best, distance)
+        if distance <= edits:
+            return True
         # A run may begin anywhere: the first row stays zero, so nothing is carried in.
         rise, fall = rise << 1 & all_bits, fall << 1 & all_bits
         up, down = fall | ~(cross | rise) & all_bits, rise & cross
-    return best
+    return False
 
 
 def found_items(index: Index, words: np.ndarray, first: np.ndarray) -> list[list[int]]:
@@ -169,18 +206,9 @@ def found_items(index: Index, words: np.ndarray, first: np.ndarray) -> list[list
         at = np.minimum(np.searchsorted(index.pairs, pair), len(index.pairs) - 1)
         np.cumsum((index.pairs[at] == pair) & (row[1:] == row[:-1]), out=hit[1:-1])
         hit[-1] = hit[-2]
-    position = np.arange(len(words))
-    possible = np.zeros(len(words), bool)
-    for span, least in index.needs:
-        stop = np.minimum(position + span - 1, first[row + 1] - 1)
-        possible |= hit[np.maximum(stop, position)] - hit[position] >= least
-    # A window may start a little before or after the place with enough pairs.
-    starts = np.flatnonzero(possible)
+    starts = _near_enough_pairs(index, first, row, hit)
     if len(starts) == 0:
         return [[] for _ in range(n)]
-    reach = STARTS + max(index.edits)
-    edge = np.bincount(starts, minlength=len(words) + 1) - np.bincount(np.minimum(starts + reach, len(words)), minlength=len(words) + 1)
-    starts = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
     places = _item_pairs(index, words, hit)
     for at in range(0, len(starts), 50_000):
         own = starts[at : at + 50_000]
@@ -188,12 +216,36 @@ def found_items(index: Index, words: np.ndarray, first: np.ndarray) -> list[list
         text = row[np.clip(begin[:, 1], 0, len(row) - 1)]
         lower, upper = np.maximum(first[text], begin[:, 0]), np.minimum(first[text + 1], begin[:, 2])
         kept = np.searchsorted(places, item * (len(words) + 1) + upper) - np.searchsorted(places, item * (len(words) + 1) + lower) >= index.least[item]
-        for i, r, a, b in zip(item[kept].tolist(), text[kept].tolist(), lower[kept].tolist(), upper[kept].tolist(), strict=True):
-            if index.ids[i] not in found[r] and best_distance(index.masks[i], len(index.items[i]), words[a:b].tolist()) <= index.edits[i]:
+        item, text, lower, upper = item[kept], text[kept], lower[kept], upper[kept]
+        short = index.size[item] <= 64
+        for part in np.array_split(np.flatnonzero(short), -(-np.count_nonzero(short) // 4096) or 1):
+            near = part[all_within_edits(index, words, item[part], lower[part], upper[part])]
+            for i, r in zip(item[near].tolist(), text[near].tolist(), strict=True):
+                found[r].add(index.ids[i])
+        for i, r, a, b in zip(item[~short].tolist(), text[~short].tolist(), lower[~short].tolist(), upper[~short].tolist(), strict=True):
+            if index.ids[i] not in found[r] and within_edits(index.masks[i], len(index.items[i]), words[a:b].tolist(), index.edits[i]):
                 found[r].add(index.ids[i])
     return [sorted(f) for f in found]
 
 
+def _near_enough_pairs(index: Index, first: np.ndarray, row: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    """Places at or shortly after the start of a window with as many item pairs as some item needs."""
+    pairs = np.flatnonzero(np.diff(hit))
+    begins, stops = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for span, least in index.needs:
+        if least == 0:
+            return np.arange(len(row))
+        low, high = pairs[: max(len(pairs) - least + 1, 0)], pairs[least - 1 :]
+        enough = (high - low <= span - 2) & (row[high] == row[low])
+        low, high = low[enough], high[enough]
+        begins.append(np.maximum(high - span + 2, first[row[low]]))
+        stops.append(low + 1)
+    # A window may start a little after the place with enough pairs.
+    begins, stops = np.concatenate(begins), np.concatenate(stops) + STARTS + max(index.edits)
+    edge = np.bincount(begins, minlength=len(row) + 1) - np.bincount(np.minimum(stops, len(row)), minlength=len(row) + 1)
+    return np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+
+
 def _item_pairs(index: Index, words: np.ndarray, hit: np.ndarray) -> np.ndarray:
     """Sorted item * (words + 1) + place of every place where a pair of that item stands."""
     at = np.flatnonzero(np.diff(hit))
