@@ -14,8 +14,10 @@ groups, so that a frequent length is no hot group.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,8 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        # Spark runs a task a core; threads of a task's own would only contend with the others.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -63,9 +67,11 @@ class Encoder:
             if b"<|" not in text:
                 text = _STOP.sub(rb" \1", text.lower())
             words.append(text.split())
+        distinct = set().union(*words)
         if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        new = list({w for own in words for w in own}.difference(self.known))
+            # Words of this block are likely in the next ones too.
+            self.known = {w: self.known[w] for w in distinct if w in self.known}
+        new = list(distinct.difference(self.known))
         for at in range(0, len(new), 10_000):
             part = new[at : at + 10_000]
             plain = [_letters(w) for w in part]
@@ -75,11 +81,10 @@ class Encoder:
         get = self.known.__getitem__
         return [b"".join(map(get, own)) for own in words]
 
-
     def _learn(self, words: list[bytes], texts: list[str], tokenizer) -> None:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         for word, ids in zip(words, found, strict=True):
-            self.known[word] = np.array(ids.ids, "<u4").tobytes()
+            self.known[word] = array("I", ids.ids).tobytes()
 
 
 def _letters(word: bytes) -> str | None:
