@@ -27,9 +27,11 @@ from pyspark.sql import functions as F
 from . import blocks
 from .spread import durable
 
+# Fixed value: what the tokenizer's last piece of a word ends with.
+WORD_END = "</w>"
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 150_000
+CACHE_WORDS = 300_000
 RANK_ROWS = 20_000
 
 # A full stop or comma that ends a word is a piece of its own to the tokenizer.
@@ -52,11 +54,15 @@ class Encoder:
     def __init__(self, path: str):
         # Spark runs a task a core; threads of a task's own would only contend with the others.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         # The merges alone, for words that are letters only: they need no splitting.
         self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[n for token, n in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -75,14 +81,27 @@ class Encoder:
         for at in range(0, len(new), 10_000):
             part = new[at : at + 10_000]
             plain = [_letters(w) for w in part]
-            self._learn([w for w, p in zip(part, plain, strict=True) if p], [p for p in plain if p], self.merges)
-            rest = [w for w, p in zip(part, plain, strict=True) if not p]
-            self._learn(rest, [w.decode() for w in rest], self.tokenizer)
+            self._learn_letters([w for w, p in zip(part, plain, strict=True) if p], [p for p in plain if p])
+            self._learn_others([w for w, p in zip(part, plain, strict=True) if not p])
         get = self.known.__getitem__
         return [b"".join(map(get, own)) for own in words]
 
-    def _learn(self, words: list[bytes], texts: list[str], tokenizer) -> None:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _learn_letters(self, words: list[bytes], texts: list[str]) -> None:
+        """Many words in one call; their ids are cut after the last piece of each."""
+        for at in range(0, len(words), 1000):
+            own = words[at : at + 1000]
+            ids = np.array(self.merges.encode_batch_fast([" ".join(texts[at : at + 1000])], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(self.last[ids]) + 1) * 4
+            if len(ends) != len(own):
+                self._learn_others(own)
+                continue
+            data, start = ids.tobytes(), 0
+            for word, end in zip(own, ends.tolist(), strict=True):
+                self.known[word] = data[start:end]
+                start = end
+
+    def _learn_others(self, words: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         for word, ids in zip(words, found, strict=True):
             self.known[word] = array("I", ids.ids).tobytes()
 
