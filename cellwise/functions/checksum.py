@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _POLYNOMIAL = 0xEDB88320
-_LENGTH_BITS = 48  # texts up to 2^48 bytes
+_LENGTH_BITS = 63  # all lengths that a BIGINT holds
 _GROUP = 1024
 
 
