@@ -25,7 +25,6 @@ SIZES = (1, 2, 3, 4)
 SPACE = 1 << 13
 LANDMARKS = 128
 SAMPLE_ROWS = 3_000
-LANDMARK_BYTES = 4_000
 RIDGE = 1e-3
 
 _MAP = np.full(256, 32, np.uint8)
@@ -80,22 +79,28 @@ class Classifier:
         return [self.names[b] for b in best], shares[np.arange(len(best)), best].astype(float)
 
 
-def fit(texts: list[str], names: list[str], seed: int = 3) -> Classifier:
-    """One-versus-rest ridge weights over landmark kernels; landmarks are dealt over the languages."""
+def fit(bits: np.ndarray, names: list[str], seed: int = 3) -> Classifier:
+    """One-versus-rest ridge weights over landmark kernels; landmarks are dealt over the languages.
+
+    ``bits`` holds a row of packed presence bits for each training text.
+    """
     known = sorted(set(names))
     if not known:
         return Classifier([], np.zeros((0, 0)), np.zeros((0, 0)))
     random = np.random.default_rng(seed)
-    order = random.permutation(len(texts))
+    order = random.permutation(len(names))
     turn = {name: 0 for name in known}
     ranks = []
     for i in order:
         ranks.append((turn[names[i]], i))
         turn[names[i]] += 1
-    chosen = [i for _, i in sorted(ranks)[:LANDMARKS]]
-    landmarks = _normal(presence(pa.array([texts[i] for i in chosen])))
-    kernels = np.concatenate([_normal(presence(pa.array(texts[i : i + 64]))) @ landmarks.T for i in range(0, len(texts), 64)])
-    wide = np.concatenate([kernels, np.ones((len(texts), 1))], 1).astype(float)
+
+    def normal(rows) -> np.ndarray:
+        return _normal(np.unpackbits(bits[rows], axis=1).astype(bool))
+
+    landmarks = normal([i for _, i in sorted(ranks)[:LANDMARKS]])
+    kernels = np.concatenate([normal(slice(i, i + 64)) @ landmarks.T for i in range(0, len(names), 64)])
+    wide = np.concatenate([kernels, np.ones((len(names), 1))], 1).astype(float)
     want = np.array([[1.0 if n == k else -1.0 for k in known] for n in names])
     # Every language weighs the same, however many rows it has.
     count = {k: names.count(k) for k in known}
@@ -112,16 +117,28 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, lang: str, doc_id: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> Classifier:
     """A classifier fitted to about ``rows`` rows with text and language, chosen by a hash of the id.
 
-    Of each sampled text the first LANDMARK_BYTES characters are learned from, which bounds
-    what the driver holds; scoring reads whole texts.
+    Whole texts are read where they lie. Only their presence bits, a fixed number a row, come to
+    the driver, so what it holds is bounded however long the texts are.
     """
     usable = docs.where(F.col(lang).isNotNull() & F.col(text).rlike("[A-Za-z\\u00C0-\\uFFFF]"))
     n = usable.count()
     if n > rows:
         usable = usable.where(F.pmod(F.xxhash64(F.col(doc_id), F.lit(29)), F.lit(1 << 20)) < int(rows / n * (1 << 20)))
-    found = usable.select(F.col(doc_id).alias("k"), F.substring(text, 1, LANDMARK_BYTES).alias("t"), F.col(lang).cast("string").alias("y")).toArrow()
-    found = found.sort_by([("k", "ascending"), ("t", "ascending"), ("y", "ascending")])
-    return fit(found.column("t").to_pylist(), found.column("y").to_pylist())
+
+    def collect_bits(batches):
+        for block in blocks.cut(batches, "t"):
+            for at in range(0, block.num_rows, 256):
+                batch = block.slice(at, 256)
+                packed = [own.tobytes() for own in np.packbits(presence(batch.column("t")), axis=1)]
+                yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("y"), pa.array(packed, pa.binary())], ["k", "y", "bits"])
+
+    kind = docs.schema[doc_id].dataType.simpleString()
+    chosen = usable.select(F.col(doc_id).alias("k"), F.col(text).alias("t"), F.col(lang).cast("string").alias("y"))
+    found = chosen.mapInArrow(collect_bits, f"k {kind}, y string, bits binary").toArrow()
+    found = found.sort_by([("k", "ascending"), ("bits", "ascending"), ("y", "ascending")])
+    width = len(SIZES) * SPACE // 8
+    bits = np.frombuffer(b"".join(found.column("bits").to_pylist()), np.uint8).reshape(-1, width)
+    return fit(bits, found.column("y").to_pylist())
 
 
 def identify(docs: DataFrame, model: Classifier, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
