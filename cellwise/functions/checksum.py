@@ -61,11 +61,14 @@ def combined_crc32(pieces: DataFrame, count: int) -> DataFrame:
     """CRC-32 of pieces (pos BIGINT from 0, text STRING) in order, as 8 hex digits.
 
     Groups of _GROUP neighbours are combined level by level, so no task ever holds more
-    than that many partial checksums. ``count`` is the number of pieces.
+    than that many partial checksums. ``count`` is the number of pieces; without any, the
+    text is empty and its checksum 00000000.
     """
     # One string constant, folded into an array once, instead of a literal per number.
     table = F.split(F.lit(",".join(map(str, _zero_operators()))), ",").cast("array<bigint>")
-    level = pieces.select(
+    # An empty piece changes no checksum, and gives a text without pieces its one row.
+    nothing = pieces.sparkSession.range(1).select(F.col("id").alias("pos"), F.lit("").alias("text"))
+    level = pieces.select("pos", "text").unionByName(nothing).select(
         "pos", F.crc32(F.encode("text", "UTF-8")).alias("crc"), F.octet_length("text").cast("bigint").alias("len")
     )
     while True:

@@ -93,15 +93,15 @@ def coo_from_table(
 ) -> Matrix:
     """A table with row, column and value columns as a matrix.
 
-    Repeated (i, j) pairs are added up, then zeros are dropped. With
-    ``duplicates="none"`` the caller vouches that no pair repeats, which spares the
+    Cells outside the shape are left out. Repeated (i, j) pairs are added up, then zeros
+    are dropped. With ``duplicates="none"`` the caller vouches that no pair repeats, which spares the
     shuffle and lets the zero filter reach the scan.
     """
     terms = df.select(
         F.col(i).cast("bigint").alias("i"),
         F.col(j).cast("bigint").alias("j"),
         F.col(v).cast("double").alias("v"),
-    )
+    ).where(F.col("i").between(0, shape.rows - 1) & F.col("j").between(0, shape.cols - 1))
     if duplicates == "none":
         return Matrix(drop_zeros(terms), shape)
     if duplicates != "sum":
@@ -110,9 +110,21 @@ def coo_from_table(
     return Matrix(drop_zeros(summed), shape, terms)
 
 
-def vector_from_table(df: DataFrame, k: str, x: str, n: int, dense: bool = False) -> Vector:
-    """A table with one row per index as a vector of length ``n``."""
+def vector_from_table(
+    df: DataFrame, k: str, x: str, n: int, dense: bool = False, duplicates: str = "sum"
+) -> Vector:
+    """A table with index and value columns as a vector of length ``n``.
+
+    Indices outside 0 .. n-1 are left out and repeated ones added up, so ``n`` bounds the
+    rows. With ``duplicates="none"`` the caller vouches that no index repeats, which spares
+    the shuffle.
+    """
     pairs = df.select(F.col(k).cast("bigint").alias("k"), F.col(x).cast("double").alias("x"))
+    pairs = pairs.where(F.col("k").between(0, n - 1))
+    if duplicates == "sum":
+        pairs = pairs.groupBy("k").agg(F.sum("x").alias("x"))
+    elif duplicates != "none":
+        raise ValueError(f"duplicates must be 'sum' or 'none', not {duplicates!r}")
     return Vector(pairs, n, dense)
 
 

@@ -92,8 +92,12 @@ def inner_counts(df: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def inner_profile(a: Matrix, b: Matrix) -> InnerProfile:
-    """Measure the profile in one job, which reads each matrix through shared exchanges."""
-    both = inner_counts(a.df, "j", "a").join(inner_counts(b.df, "i", "b"), "k", "full")
+    """Measure the profile in one job.
+
+    Repeated triplets are counted as they stand: every test of the strategy needs upper
+    bounds only, and so neither matrix has to be added up for it.
+    """
+    both = inner_counts(a.summands, "j", "a").join(inner_counts(b.summands, "i", "b"), "k", "full")
     # Counts are multiplied as decimals: two hot sides can exceed BIGINT.
     work = F.coalesce("a", F.lit(0)).cast("decimal(19,0)") * F.coalesce("b", F.lit(0)).cast("decimal(19,0)")
     inner = both.agg(
@@ -104,7 +108,7 @@ def inner_profile(a: Matrix, b: Matrix) -> InnerProfile:
         F.sum(work).alias("products"),
         F.max(work).alias("heaviest"),
     )
-    rows = a.df.groupBy("i").agg(F.count("*").alias("n")).agg(F.max("n").alias("fullest_row"))
+    rows = a.summands.groupBy("i").agg(F.count("*").alias("n")).agg(F.max("n").alias("fullest_row"))
     measured: dict[str, int] = {}
     for row in inner.unionByName(rows, allowMissingColumns=True).collect():
         measured |= {name: int(value) for name, value in row.asDict().items() if value is not None}
@@ -185,7 +189,7 @@ def spmm(a: Matrix, b: Matrix, profile: InnerProfile | None = None) -> Matrix:
     elif strategy == "broadcast_left":
         left = F.broadcast(left)
     elif strategy == "split":
-        counts = inner_counts(a.df, "j", "a").join(inner_counts(b.df, "i", "b"), "k")
+        counts = inner_counts(a.summands, "j", "a").join(inner_counts(b.summands, "i", "b"), "k")
         left, right = _spread(left, right, counts)
         keys = ["k", "p", "q"]
     elif strategy == "hash_right":

@@ -11,7 +11,7 @@ from cellwise.model import DenseMatrix, Matrix, Shape, Vector
 # Fixed value: an operand is sparse when less than this share of it is nonzero.
 SPARSE_BELOW = 0.5
 
-# Fixed value: results with more cells than this are previewed instead of saved whole.
+# Fixed value: the summary tables flag results with more cells than this. Nothing else looks at it.
 MAX_SAVED_CELLS = 2_000_000
 
 

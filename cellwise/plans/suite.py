@@ -81,7 +81,7 @@ def operands() -> dict[str, Callable[[SparkSession], Operand]]:
     for name, (rows, cols) in SHAPES.items():
         made[f"shape_{name}_{rows}x{cols}"] = lambda s, r=rows, c=cols: g.uniform_rows(s, r, c, SCALE_DENSITY)
     for n in (50, 100, 500, 1000, 2000, 4000, 5000, 10000):
-        made[f"vector_{n}"] = lambda s, n=n: g.dense_vector(s, n)
+        made[f"vector_{n}"] = lambda s, n=n: g.dense_vector(s, n, values="counting" if n <= 10 else "normal")
     return made
 
 

@@ -33,7 +33,19 @@ def matrix_vector(matrix: str, vector: str, rows: str, key: str, digits: int | N
       select r.{key} as k, {y} as x from {rows} r left join q on r.{key} = q.i"""
 
 
-def power_steps(steps: int) -> str:
+# A byte at a time: eight shifts, with the polynomial where a one falls out.
+CRC32_BYTE = """list_reduce(list_prepend(xor(acc, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+  lambda r, z: case when r & 1 = 1 then xor(r >> 1, 3988292384::bigint) else r >> 1 end)"""
+
+
+def checksum_of(text: str) -> str:
+    """CRC-32 of the ASCII text that the subquery gives as column t."""
+    return f"""select lower(lpad(to_hex(xor(list_reduce(list_prepend(4294967295::bigint,
+        list_transform(string_split(t, ''), lambda c: ascii(c)::bigint)), lambda acc, b: {CRC32_BYTE}), 4294967295::bigint)), 8, '0')) as crc32
+      from ({text})"""
+
+
+def power_steps(steps: int, residual: bool = False) -> str:
     ctes = """e as (select s.l_partkey f, t.l_partkey t, count(*) w from lineitem s
         join lineitem t on s.l_orderkey = t.l_orderkey and t.l_linenumber = s.l_linenumber + 1 group by 1, 2),
       m as (select t i, e.f j, w / o.out v from e join (select f, sum(w) out from e group by f) o on e.f = o.f),
@@ -45,6 +57,9 @@ def power_steps(steps: int) -> str:
         left join (select m.i, sum(m.v * v.x) y from m join x{s - 1} v on m.j = v.k group by m.i) q on p.p_partkey = q.i),
       s{s} as (select case when sum(abs(y)) = 0 then 1.0 else sum(abs(y)) end s from y{s}),
       x{s} as (select k, 0.85 * y / s.s + (1 - 0.85) / n.n x from y{s}, s{s} s, n)"""
+    if residual:
+        return f"""with {ctes} select {steps} as steps, round(sum(abs(a.x - b.x)), 9) as residual
+          from x{steps} a join x{steps - 1} b on a.k = b.k"""
     return f"with {ctes} select k, round(x, 9) as x from x{steps}"
 
 
@@ -228,18 +243,31 @@ def oracle_sql() -> dict[str, str]:
         "multiply_to_text": text_rows(product, "supplier", "s_suppkey", "supplier", "s_suppkey", 4096),
         "multiply_files": """select c_custkey as k, cast(n_regionkey as double) as x
           from customer join nation on c_nationkey = n_nationkey""",
+        "multiply_text_sparse": """select c_custkey as i, cast(n_regionkey as bigint) as j, cast(1 as double) as v
+          from customer join nation on c_nationkey = n_nationkey""",
+        "multiply_text_dense": """select c_custkey as i, cast(j as bigint) as j,
+            cast(case when j = 0 then n_nationkey + 1 else n_regionkey + 1 end as double) as v
+          from customer join nation on c_nationkey = n_nationkey cross join (select unnest([0, 1]) j)""",
+        "multiply_text_row": """select c_custkey as k, cast(n_regionkey as double) as x
+          from customer join nation on c_nationkey = n_nationkey""",
+        "spmv_repeated_keys": matrix_vector(
+            transposed, "select l_partkey k, sum(l_quantity) x from lineitem group by 1", "supplier", "s_suppkey"
+        ),
+        "power_residual": power_steps(POWER_STEPS, residual=True),
         "power_iteration": power_steps(POWER_STEPS),
         "power_iteration_laid_out": power_steps(POWER_STEPS),
         "l1_norm": f"select sum(abs(x)) as norm from ({SIZES})",
         "l1_distance": "select sum(abs(p_size - floor(p_retailprice))) as distance from part",
         "dense_rows": """with m as (select user_id % 7 i, event_id % 5 j, cast(count(*) as double) v from events
-            where user_id % 7 <> 3 and event_id % 5 <> 2 group by 1, 2),
-          g as (select r.range i, c.range j, coalesce(m.v, 0.0) v from range(7) r cross join range(5) c
+            group by 1, 2),
+          g as (select r.range i, c.range j, coalesce(m.v, 0.0) v from range(8) r cross join range(6) c
             left join m on m.i = r.range and m.j = c.range)
           select i, cast(0 as bigint) as seg, string_agg(cast(v as varchar), ', ' order by j) as line from g group by 1""",
         "dense_segments": text_rows(transposed, "supplier", "s_suppkey", "part", "p_partkey", SEGMENT),
         "vector_line": f"""with y as ({matrix_vector(ORDER_PART, SIZES, "orders", "o_orderkey")})
           select k // {SEGMENT} as seg, string_agg(cast(x as varchar), ',' order by k) as line from y group by 1""",
+        "checksum": checksum_of(f"""with y as ({matrix_vector(ORDER_PART, SIZES, "orders", "o_orderkey")})
+          select string_agg(cast(x as varchar), ',' order by k) as t from y"""),
         "preview": line_text.format(n=100),
         "glance": f"""select i, case when length(line) > 120 then substring(line, 1, 120) || ' …' else line end as line
           from ({line_text.format(n=20)})""",
@@ -295,6 +323,13 @@ def oracle_sql() -> dict[str, str]:
             {nearest("value", 0.99)} as p99 from r group by 1""",
         "trial_stats": """select event_type, count(value) as trials, median(value) as median, min(value) as min,
             max(value) as max, round(stddev_pop(value), 6) as std from events group by 1""",
+        "nearest_rank_null_keys": f"""with e as (select case when user_id % 10 <> 0 then event_type end as name, value from events),
+          r as (select name, value, row_number() over (partition by name order by value) rn,
+            count(*) over (partition by name) n from e where value is not null)
+          select name, {nearest("value", 0.5)} as p50, {nearest("value", 0.9)} as p90 from r group by 1""",
+        "trial_stats_null_keys": """select case when user_id % 10 <> 0 then event_type end as name, count(value) as trials,
+            median(value) as median, min(value) as min, max(value) as max, round(stddev_pop(value), 6) as std
+          from events group by 1""",
         "merge_summaries": """with e as (select event_type as name, event_id % 3 as trial, value,
             case when user_id % 2 = 0 then 'baseline' else 'df_no_broadcast+df_shuffle_200' end as ablation from events),
           t as (select name, ablation, max(value) as r, min(value) as d from e group by 1, 2),

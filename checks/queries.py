@@ -58,14 +58,15 @@ class Tables:
         return cw.coo_from_table(ones, "c_custkey", "c_nationkey", "one", shape, duplicates="none")
 
     def sizes(self) -> Vector:
-        return cw.vector_from_table(self.part, "p_partkey", "p_size", self.size("part"), dense=True)
+        return cw.vector_from_table(self.part, "p_partkey", "p_size", self.size("part"), dense=True, duplicates="none")
 
     def branded_sizes(self) -> Vector:
-        return cw.vector_from_table(self.part.where("p_brand = 'Brand#2'"), "p_partkey", "p_size", self.size("part"))
+        branded = self.part.where("p_brand = 'Brand#2'")
+        return cw.vector_from_table(branded, "p_partkey", "p_size", self.size("part"), duplicates="none")
 
     def balances(self) -> Vector:
         whole = self.supplier.withColumn("whole", F.floor("s_acctbal"))
-        return cw.vector_from_table(whole, "s_suppkey", "whole", self.size("supplier"), dense=True)
+        return cw.vector_from_table(whole, "s_suppkey", "whole", self.size("supplier"), dense=True, duplicates="none")
 
     def label_indicator(self) -> Matrix:
         labels, n = self.embeddings.agg(F.max("label") + 1, F.count("*")).first()
@@ -99,11 +100,11 @@ class Tables:
     def event_grid(self) -> Matrix:
         cells = (
             self.events.select((F.col("user_id") % 7).alias("i"), (F.col("event_id") % 5).alias("j"))
-            .where("i <> 3 and j <> 2")
             .groupBy("i", "j")
             .agg(F.count("*").alias("v"))
         )
-        return cw.coo_from_table(cells, "i", "j", "v", Shape(7, 5), duplicates="none")
+        # One row and one column wider than the cells, so that both have an empty one.
+        return cw.coo_from_table(cells, "i", "j", "v", Shape(8, 6), duplicates="none")
 
     def mixed_lines(self) -> DataFrame:
         """Lines some of which hold a brand name or an empty token."""
@@ -164,11 +165,43 @@ def multiply_to_text(t: Tables) -> DataFrame:
 def multiply_files(t: Tables) -> DataFrame:
     left, right = scratch_path(t.spark, "left"), scratch_path(t.spark, "right")
     layout.write_matrix_text(t.customer_nation(), left)
-    regions = cw.vector_from_table(t.nation, "n_nationkey", "n_regionkey", t.size("nation"), dense=True)
+    regions = cw.vector_from_table(t.nation, "n_nationkey", "n_regionkey", t.size("nation"), dense=True, duplicates="none")
     layout.write_vector_text(regions, right)
     return multiply_text(t.spark, left, right).df
 
 
+def _customer_text_times(t: Tables, right: Matrix) -> Vector | Matrix:
+    """Customers by nations times a small matrix, both read back from text."""
+    paths = scratch_path(t.spark, "left"), scratch_path(t.spark, "right")
+    layout.write_matrix_text(t.customer_nation(), paths[0])
+    layout.write_matrix_text(right, paths[1])
+    return multiply_text(t.spark, *paths)
+
+
+def multiply_text_sparse(t: Tables) -> DataFrame:
+    ones = t.nation.withColumn("one", F.lit(1.0))
+    shape = Shape(t.size("nation"), t.size("region"))
+    return _customer_text_times(t, cw.coo_from_table(ones, "n_nationkey", "n_regionkey", "one", shape)).df
+
+
+def multiply_text_dense(t: Tables) -> DataFrame:
+    cells = t.nation.select(
+        "n_nationkey", F.posexplode(F.array(F.col("n_nationkey") + 1, F.col("n_regionkey") + 1)).alias("j", "v")
+    )
+    return _customer_text_times(t, cw.coo_from_table(cells, "n_nationkey", "j", "v", Shape(t.size("nation"), 2))).df
+
+
+def multiply_text_row(t: Tables) -> DataFrame:
+    cells = t.nation.select(F.lit(0).alias("i"), "n_nationkey", "n_regionkey")
+    return _customer_text_times(t, cw.coo_from_table(cells, "i", "n_nationkey", "n_regionkey", Shape(1, t.size("nation")))).df
+
+
+def spmv_repeated_keys(t: Tables) -> DataFrame:
+    """Against the quantity of each part, which the vector adds up over its lines."""
+    x = cw.vector_from_table(t.lineitem, "l_partkey", "l_quantity", t.size("part"))
+    return cw.spmv(t.part_supplier().transposed, x).df
+
+
 def power_iteration(t: Tables) -> DataFrame:
     return _rounded(cw.power_iteration(t.part_graph(), steps=POWER_STEPS).vector, 9)
 
@@ -177,13 +210,18 @@ def power_iteration_laid_out(t: Tables) -> DataFrame:
     return _rounded(cw.power_iteration(t.part_graph(), steps=POWER_STEPS, layout=True).vector, 9)
 
 
+def power_residual(t: Tables) -> DataFrame:
+    found = cw.power_iteration(t.part_graph(), steps=POWER_STEPS)
+    return t.spark.range(1).select(F.lit(found.steps).alias("steps"), F.round(F.lit(found.residual), 9).alias("residual"))
+
+
 def l1_norm(t: Tables) -> DataFrame:
     return cw.l1_norm(t.sizes())
 
 
 def l1_distance(t: Tables) -> DataFrame:
     prices = t.part.withColumn("whole", F.floor("p_retailprice"))
-    return cw.l1_distance(t.sizes(), cw.vector_from_table(prices, "p_partkey", "whole", t.size("part"), dense=True))
+    return cw.l1_distance(t.sizes(), cw.vector_from_table(prices, "p_partkey", "whole", t.size("part"), dense=True, duplicates="none"))
 
 
 def dense_rows(t: Tables) -> DataFrame:
@@ -310,6 +348,18 @@ def trial_stats(t: Tables) -> DataFrame:
     return stats.withColumn("std", F.round("std", 6))
 
 
+def _partly_unnamed(t: Tables) -> DataFrame:
+    return t.events.withColumn("name", F.when(F.col("user_id") % 10 != 0, F.col("event_type")))
+
+
+def nearest_rank_null_keys(t: Tables) -> DataFrame:
+    return benchstats.nearest_rank(_partly_unnamed(t), ["name"], "value", {"p50": 0.5, "p90": 0.9})
+
+
+def trial_stats_null_keys(t: Tables) -> DataFrame:
+    return benchstats.trial_summary(_partly_unnamed(t), ["name"], "value").withColumn("std", F.round("std", 6))
+
+
 def merge_summaries(t: Tables) -> DataFrame:
     named = t.events.select(
         F.col("event_type").alias("name"),
@@ -428,13 +478,14 @@ def gen_sparse_vector(t: Tables) -> DataFrame:
 
 _ALL = [
     spmv, spmspv, kernel_only, spmm, spdm, multiply_dispatch, multiply_to_text, multiply_files,
+    multiply_text_sparse, multiply_text_dense, multiply_text_row, spmv_repeated_keys, power_residual,
     power_iteration, power_iteration_laid_out, l1_norm, l1_distance,
     dense_rows, dense_segments, vector_line, preview, glance, checksum,
     coo_from_table, by_row, by_col,
     sparsity, line_sparsity, matrix_sparsity, shape_profile, vector_class, result_cells,
     numeric_lines, lenient_coo, grid_to_coo, normalize_text,
     read_lines, read_grid, read_dense, read_column_vector, read_row_vector,
-    nearest_rank, trial_stats, merge_summaries, kernel_table, event_log_rollup,
+    nearest_rank, trial_stats, nearest_rank_null_keys, trial_stats_null_keys, merge_summaries, kernel_table, event_log_rollup,
     gen_identity, gen_diagonal, gen_zero, gen_upper, gen_banded, gen_block_diagonal,
     gen_uniform_draws, gen_uniform_rows, gen_power_law, gen_row_hotspot, gen_dense_vector, gen_sparse_vector,
 ]

@@ -95,7 +95,7 @@ def test_power_law_degrees(spark):
 
 
 def test_vectors(spark):
-    assert values(g.dense_vector(spark, 10)).tolist() == list(range(1, 11))
+    assert values(g.dense_vector(spark, 10, values="counting")).tolist() == list(range(1, 11))
     long = g.dense_vector(spark, 500)
     assert long.df.count() == 500 and abs(values(long).std() - 10) < 1.5
     assert g.sparse_vector(spark, 200, 0.1).df.count() == 20

@@ -93,10 +93,27 @@ def test_text_round_trip(spark, tmp_path):
         assert np.allclose(values(text.read_vector(spark, path)), values(x))
 
 
-def test_overlong_lines_are_refused(spark, tmp_path):
-    with pytest.raises(ValueError, match="one line"):
-        layout.write_matrix_text(generate.zero(spark, 1, 1 << 21), str(tmp_path / "m"))
-
+def test_written_segments_and_whole_rows(spark, tmp_path):
+    m = cw.Matrix(spark.createDataFrame([(0, 0, 1.0), (1, 4, 2.0)], "i bigint, j bigint, v double"), cw.Shape(2, 5))
+    layout.write_matrix_text(m, str(tmp_path / "rows"))
+    layout.write_matrix_text(m, str(tmp_path / "segments"), width=3)
+    written = {name: [r.value for r in spark.read.text(str(tmp_path / name)).collect()] for name in ("rows", "segments")}
+    assert sorted(written["rows"]) == ["0.0,0.0,0.0,0.0,2.0", "1.0,0.0,0.0,0.0,0.0"]
+    assert sorted(written["segments"]) == ["0.0,0.0", "0.0,0.0,0.0", "0.0,2.0", "1.0,0.0,0.0"]
+
+
+def test_checksum_of_nothing(spark):
+    empty = spark.createDataFrame([], "k bigint, x double")
+    assert [r.crc32 for r in layout.checksum(cw.Vector(empty, 0)).collect()] == ["00000000"]
+
+
+def test_repeats_and_bounds_of_tables(spark):
+    rows = spark.createDataFrame([(0, 1.0), (0, 2.0), (1, 5.0), (2, 7.0), (-1, 9.0), (None, 3.0)], "k bigint, x double")
+    assert sorted(map(tuple, cw.vector_from_table(rows, "k", "x", 2).df.collect())) == [(0, 3.0), (1, 5.0)]
+    cells = spark.createDataFrame([(0, 0, 1.0), (5, 0, 2.0), (0, 2, 3.0), (1, 1, 4.0), (None, 0, 1.0)], "i bigint, j bigint, v double")
+    for duplicates in ("sum", "none"):
+        found = cw.coo_from_table(cells, "i", "j", "v", cw.Shape(2, 2), duplicates=duplicates)
+        assert sorted(map(tuple, found.df.collect())) == [(0, 0, 1.0), (1, 1, 4.0)]
 
 def test_table_formats(spark, tmp_path):
     m = sparse(spark, C)
