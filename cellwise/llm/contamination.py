@@ -10,7 +10,8 @@ floor((1 - SIMILARITY) * n) word edits of the item.
    by a random bit of (step, word); small edit distance becomes small Hamming distance. A walk
    does not depend on the window's end, so one walk serves item-sized windows of all items.
 3. *Bit sampling.* Each of several walks is sampled at several random sets of steps; a window
-   that agrees with an item in one set is a candidate. Items are indexed from several starts.
+   that agrees with an item in one set is a candidate. Items are indexed from groups of starts
+   over their whole length, so that edits bunched in one place leave other groups untouched.
 4. *Verification* by bit-parallel edit distance over the candidate's surroundings, exactly.
 
 Items are broadcast in blocks of a bounded number of words; more blocks mean more passes
@@ -28,8 +29,10 @@ from . import blocks
 
 SIMILARITY = 0.8
 WALKS, SETS, STEPS = 6, 8, 24
-STARTS = 12
-ITEM_BYTES = 4 << 20
+STARTS, EVERY = 12, 24
+ITEM_BYTES = 2 << 20
+# Places looked at together; what they match is held at once.
+PLACES = 8192
 
 _LOWER = blocks.lower_ascii()
 _WORD = np.zeros(256, bool)
@@ -71,6 +74,12 @@ def sampled_steps(seed: int = 7) -> list[list[tuple[int, int]]]:
     return sets
 
 
+def item_starts(n: int) -> list[int]:
+    """Words of an item of n words from which walks start: groups of STARTS, one EVERY so many words."""
+    later = [s for first in range(EVERY, n, EVERY) for s in range(first, min(first + STARTS, n - 1))]
+    return [*range(min(STARTS, max(n // 2, 1))), *later]
+
+
 class Index:
     """A block of benchmark items, ready to be broadcast."""
 
@@ -82,15 +91,17 @@ class Index:
         self.edits = [int((1 - similarity) * len(w) + 1e-9) for w in self.items]
         pairs = [pair_hashes(w) for w in self.items]
         self.pairs = np.unique(np.concatenate([np.zeros(0, np.uint64), *pairs]))
-        # Spans and least numbers of pairs, of which a window has to meet one.
-        needs: dict[int, int] = {}
+        # Spans and least numbers of pairs, of which a window has to meet one, and how far behind
+        # the start of such a window walks of its items start.
+        needs: dict[int, tuple[int, int]] = {}
         for w, e in zip(self.items, self.edits, strict=True):
-            span, least = len(w) + e, max(len(w) - 1 - 2 * e, 0)
-            needs[span] = min(needs.get(span, least), least)
-        self.needs = sorted(needs.items())
+            span, least, reach = len(w) + e, max(len(w) - 1 - 2 * e, 0), max(item_starts(len(w))[-1] + e, STARTS + max(self.edits))
+            known = needs.get(span, (least, reach))
+            needs[span] = min(known[0], least), max(known[1], reach)
+        self.needs = [(span, least, reach) for span, (least, reach) in sorted(needs.items())]
         item, start = [], []
         for i, w in enumerate(self.items):
-            for s in range(min(STARTS, max(len(w) // 2, 1))):
+            for s in item_starts(len(w)):
                 item.append(i)
                 start.append(s)
         self.item, self.start = np.array(item, np.int64), np.array(start, np.int64)
@@ -210,8 +221,8 @@ def found_items(index: Index, words: np.ndarray, first: np.ndarray) -> list[list
     if len(starts) == 0:
         return [[] for _ in range(n)]
     places = _item_pairs(index, words, hit)
-    for at in range(0, len(starts), 50_000):
-        own = starts[at : at + 50_000]
+    for at in range(0, len(starts), PLACES):
+        own = starts[at : at + PLACES]
         item, begin = _candidates(index, words, own, first[row[own] + 1])
         text = row[np.clip(begin[:, 1], 0, len(row) - 1)]
         lower, upper = np.maximum(first[text], begin[:, 0]), np.minimum(first[text + 1], begin[:, 2])
@@ -229,19 +240,19 @@ def found_items(index: Index, words: np.ndarray, first: np.ndarray) -> list[list
 
 
 def _near_enough_pairs(index: Index, first: np.ndarray, row: np.ndarray, hit: np.ndarray) -> np.ndarray:
-    """Places at or shortly after the start of a window with as many item pairs as some item needs."""
+    """Places in a window with as many item pairs as some item needs, up to the last start of its walks."""
     pairs = np.flatnonzero(np.diff(hit))
     begins, stops = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for span, least in index.needs:
+    for span, least, reach in index.needs:
         if least == 0:
             return np.arange(len(row))
         low, high = pairs[: max(len(pairs) - least + 1, 0)], pairs[least - 1 :]
         enough = (high - low <= span - 2) & (row[high] == row[low])
         low, high = low[enough], high[enough]
         begins.append(np.maximum(high - span + 2, first[row[low]]))
-        stops.append(low + 1)
-    # A window may start a little after the place with enough pairs.
-    begins, stops = np.concatenate(begins), np.concatenate(stops) + STARTS + max(index.edits)
+        # A walk may start anywhere in the window.
+        stops.append(low + 1 + reach)
+    begins, stops = np.concatenate(begins), np.concatenate(stops)
     edge = np.bincount(begins, minlength=len(row) + 1) - np.bincount(np.minimum(stops, len(row)), minlength=len(row) + 1)
     return np.flatnonzero(np.cumsum(edge[:-1]) > 0)
 
@@ -270,7 +281,8 @@ def _candidates(index: Index, words: np.ndarray, starts: np.ndarray, ends: np.nd
         marks.append(np.stack([index.item[owner], (start - index.start[owner]) // 4, start], 1))
     found = np.concatenate(marks)
     # One of the windows that begin within four words of one another stands for them all.
-    key = found[:, 0] * (len(words) + 2 * STARTS) + found[:, 1] + STARTS
+    before = int(index.start.max(initial=0))
+    key = found[:, 0] * (len(words) + 2 * before + 2) + found[:, 1] + before + 1
     _, lead = np.unique(key, return_index=True)
     found = found[lead]
     item, begin = found[:, 0], found[:, 1] * 4
