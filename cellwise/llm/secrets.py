@@ -103,7 +103,7 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     identifiers = _Parts(access + ids)
     secrets = _Parts([s for s in base if s.kind != 1] + blobs)
     found = [s for s in ids if secrets.near(s)] + [s for s in blobs if identifiers.near(s)]
-    if found or (access and secrets.spans):
+    if identifiers.spans and secrets.spans:
         ends = [Span(m.start(), 5, m.end()) for m in _ENDPOINT.finditer(text)]
         found += [s for s in ends if free(s) and identifiers.near(s) and secrets.near(s)]
     return sorted(found)
