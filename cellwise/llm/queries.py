@@ -12,7 +12,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, embedding, fixity, language, packing, passages, secrets, simhash, substrings, toxicity
+from cellwise.session import scratch_path
+
+from . import contamination, divergence, embedding, fixity, importance, language, packing, passages, secrets, simhash, substrings, tokenfiles, toxicity
 from .spread import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -34,6 +36,41 @@ from r
 """
 
 
+OP12_SQL = r"""
+with d as (
+    select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as r,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms
+    from documents
+),
+w as (select lang, source, r, unnest(terms) as term from d),
+kept as (select lang, term from w group by lang, term having count(distinct r) >= 30),
+g as (select distinct lang, source from d),
+c as (select lang, source, term, count(*) as n from w join kept using (lang, term) group by all),
+v as (select lang, count(*) as v from kept group by lang),
+full_c as (
+    select g.lang, g.source, k.term, coalesce(c.n, 0)::hugeint as n from g join kept k on g.lang = k.lang
+    left join c on c.lang = g.lang and c.source = g.source and c.term = k.term
+),
+p as (
+    select lang, source, term, n, 1 + (1000000000::hugeint * (n + 5)) // (sum(n) over (partition by lang, source) + 5 * v) as p
+    from full_c join v using (lang)
+),
+q as (select lang, term, sum(n) as n from p group by lang, term),
+ql as (select lang, term, 1 + (1000000000::hugeint * (n + 5)) // (sum(n) over (partition by lang) + 5 * v) as q from q join v using (lang)),
+pair as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(x.value, 0) as value
+    from g a join g b on a.lang = b.lang and a.source <> b.source
+    left join (select s.lang, s.source, t.source as item, sum(abs(s.p - t.p)) as value from p s join p t on s.lang = t.lang and s.term = t.term group by all) x
+        on x.lang = a.lang and x.source = a.source and x.item = b.source
+),
+term as (select lang, source, 'term' as part, term as item, p - q as value from p join ql using (lang, term) where n > 0 and p > q),
+ranked as (
+    select *, row_number() over (partition by lang, source, part order by value desc, encode(item)) as rank from (select * from pair union all select * from term)
+)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank from ranked where part = 'pair' or rank <= 50
+"""
+
+
 def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding.near_duplicates(table(spark, folder, "embeddings"))
 
@@ -85,7 +122,25 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Writes all documents as token files and reads their places and sums back from these."""
+    written = scratch_path(spark, "token-files")
+    tokenfiles.write(table(spark, folder, "documents"), written, public_tokenizers.path(TOKENIZER))
+    return tokenfiles.read(spark, written)
+
+
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Every pair of sources of a language, and the terms that mark each source."""
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
+def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """A quarter of the documents, drawn by their likeness to the benchmark."""
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 _ALL = [op1_embedding_dedup, op2_toxicity, op3_passages, op4_language, op5_packing, op6_simhash, op7_substrings, op8_secrets, op9_fixity, op10_decontamination]
+_ALL += [op11_token_files, op12_divergence, op13_importance]
 
 
 def queries() -> dict[str, Query]:
@@ -93,4 +148,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_fixity": OP9_SQL}
+    return {"op9_fixity": OP9_SQL, "op12_divergence": OP12_SQL}
