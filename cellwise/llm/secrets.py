@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -38,7 +40,12 @@ ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 _NAMES = (b"passw", b"secret", b"token", b"api")
 _ID = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Z]*[0-9])(?=[0-9]*[A-Z])[A-Z0-9]{16,32}(?![A-Za-z0-9+/_=-])")
 _BLOB = re.compile(r"[A-Za-z0-9+/_=-]{24,}")
-_ENDPOINT = re.compile(r"https?://[^\s\"'<>]+|[A-Za-z0-9.-]+\.[a-z]{2,}:[0-9]{2,5}|[A-Za-z0-9._-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]{2,5})?")
+# An endpoint is the leftmost match of one of these, the earlier kind where two start together:
+# a URL, a host with a port, an e-mail address, an IPv4 address.
+_URL = re.compile(r"https?://[^\s\"'<>]+")
+_HOST, _HOST_END, _PORT = re.compile(r"[A-Za-z0-9.-]+"), re.compile(r"\.[a-z]{2,}"), re.compile(r":[0-9]{2,5}")
+_USER, _DOMAIN = re.compile(r"[A-Za-z0-9._-]+"), re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_ADDRESS = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]{2,5})?")
 
 
 class Span(NamedTuple):
@@ -64,22 +71,72 @@ def _mixed(token: str) -> bool:
 
 
 class _Parts:
-    """Spans of one role, for the question whether one lies within reach."""
+    """Spans of one role, for the questions whether one lies within reach and whether one overlaps."""
 
     def __init__(self, spans: list[Span]):
         self.spans = sorted(spans)
         self.starts = [s.start for s in self.spans]
-        self.longest = max((s.end - s.start for s in self.spans), default=0)
+        self.ends = sorted(s.end for s in self.spans)
+        self.furthest = list(accumulate((s.end for s in self.spans), max))
 
     def near(self, span: Span) -> bool:
-        """Whether a part other than the span itself ends or starts within REACH of it."""
-        at = bisect_left(self.starts, span.start - REACH - self.longest)
-        while at < len(self.spans) and self.starts[at] <= span.end + REACH:
-            other = self.spans[at]
-            if other.end >= span.start - REACH and (other.end <= span.start or other.start >= span.end):
-                return True
-            at += 1
-        return False
+        """Whether a part beside the span starts or ends within REACH of it."""
+        after = bisect_left(self.starts, span.end)
+        if after < len(self.starts) and self.starts[after] <= span.end + REACH:
+            return True
+        before = bisect_right(self.ends, span.start) - 1
+        return before >= 0 and self.ends[before] >= span.start - REACH
+
+    def overlaps(self, span: Span) -> bool:
+        before = bisect_left(self.starts, span.end) - 1
+        return before >= 0 and self.furthest[before] > span.start
+
+
+def _tails(text: str) -> list[list[tuple[int, int, int]]]:
+    """(first start, last start, end) of hosts with a port and of e-mail addresses.
+
+    Both begin anywhere in a run of their signs and are decided by what ends the run, so each
+    run is looked at once, however long it is.
+    """
+    hosts, users = [], []
+    if ":" in text:
+        for run in _HOST.finditer(text):
+            port = _PORT.match(text, run.end())
+            dot = port and text.rfind(".", run.start() + 1, run.end())
+            if port and dot > 0 and _HOST_END.fullmatch(text, dot, run.end()):
+                hosts.append((run.start(), dot - 1, port.end()))
+    if "@" in text:
+        for run in _USER.finditer(text):
+            domain = _DOMAIN.match(text, run.end())
+            if domain:
+                users.append((run.start(), run.end() - 1, domain.end()))
+    return [hosts, users]
+
+
+def endpoints(text: str) -> Iterator[Span]:
+    """Endpoints from the left, none within another, in time linear in the text."""
+    tails = _tails(text)
+    used = [0, 0]
+    at = 0
+    url, address = _URL.search(text), _ADDRESS.search(text)
+    while True:
+        if url and url.start() < at:
+            url = _URL.search(text, at)
+        if address and address.start() < at:
+            address = _ADDRESS.search(text, at)
+        options = [(url.start(), 0, url.end())] if url else []
+        for n, tail in enumerate(tails):
+            while used[n] < len(tail) and tail[used[n]][1] < at:
+                used[n] += 1
+            if used[n] < len(tail):
+                first, _, end = tail[used[n]]
+                options.append((max(first, at), n + 1, end))
+        if address:
+            options.append((address.start(), 3, address.end()))
+        if not options:
+            return
+        start, _, at = min(options)
+        yield Span(start, 5, at)
 
 
 def linked_spans(text: str, base: list[Span]) -> list[Span]:
@@ -91,12 +148,7 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     taken = _Parts(base)
 
     def free(span: Span) -> bool:
-        at = bisect_left(taken.starts, span.start - taken.longest)
-        while at < len(taken.spans) and taken.starts[at] < span.end:
-            if taken.spans[at].end > span.start:
-                return False
-            at += 1
-        return True
+        return not taken.overlaps(span)
 
     blobs = [Span(m.start(), 4, m.end()) for m in _BLOB.finditer(text) if _mixed(m[0])]
     ids, blobs = list(filter(free, ids)), list(filter(free, blobs))
@@ -104,8 +156,7 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     secrets = _Parts([s for s in base if s.kind != 1] + blobs)
     found = [s for s in ids if secrets.near(s)] + [s for s in blobs if identifiers.near(s)]
     if identifiers.spans and secrets.spans:
-        ends = [Span(m.start(), 5, m.end()) for m in _ENDPOINT.finditer(text)]
-        found += [s for s in ends if free(s) and identifiers.near(s) and secrets.near(s)]
+        found += [s for s in endpoints(text) if free(s) and identifiers.near(s) and secrets.near(s)]
     return sorted(found)
 
 
