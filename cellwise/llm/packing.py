@@ -35,7 +35,8 @@ CACHE_WORDS = 300_000
 RANK_ROWS = 20_000
 
 # A full stop or comma that ends a word is a piece of its own to the tokenizer.
-_STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?=[\x09-\x0d\x20]|$)")
+# The sign comes first in the pattern: it is what the search skips to.
+_STOP = re.compile(rb"([.,])(?<=[a-z0-9].)(?=[\x09-\x0d\x20]|$)")
 
 
 _LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
