@@ -18,6 +18,7 @@ language, source and text columns are read; repeated rows count as often as they
 from __future__ import annotations
 
 from collections import Counter
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -229,16 +230,17 @@ def _batch(columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], _NAMES)
 
 
-def _pairs(tile: tuple[str, int, int], sums: np.ndarray, seen: int) -> pa.RecordBatch:
+def _pairs(tile: tuple[str, int, int], rows: int, sums: np.ndarray, seen: int) -> pa.RecordBatch:
     lang, tile_a, tile_b = tile
     i, j = np.nonzero(np.triu(np.ones(sums.shape, bool), 1) if tile_a == tile_b else np.ones(sums.shape, bool))
-    return _batch(([lang] * len(i), i + tile_a * TILE, j + tile_b * TILE, sums[i, j], np.full(len(i), seen), [None] * len(i)))
+    return _batch(([lang] * len(i), i + tile_a * rows, j + tile_b * rows, sums[i, j], np.full(len(i), seen), [None] * len(i)))
 
 
-def _tile_sums(batches):
+def _tile_sums(batches, rows: int):
     """Descends the trees of each (lang, tile, tile, panel); sums of a pair are sent once a task.
 
-    Cells of a panel come with one row that holds the totals of all groups of both tiles.
+    Cells of a panel come with one row that holds the totals of all groups of both tiles, up to
+    ``rows`` each.
     """
     keys = ["lang", "tile_a", "tile_b", "panel"]
     tile, sums, seen = None, None, 0
@@ -250,7 +252,7 @@ def _tile_sums(batches):
             lang, tile_a, tile_b = (part.column(n)[0].as_py() for n in keys[:3])
             if tile != (lang, tile_a, tile_b):
                 if tile is not None:
-                    yield _pairs(tile, sums, seen)
+                    yield _pairs(tile, rows, sums, seen)
                 tile, sums, seen = (lang, tile_a, tile_b), 0, 0
             side = part.column("side").to_numpy()
             head = int(np.flatnonzero(side < 0)[0])
@@ -270,19 +272,19 @@ def _tile_sums(batches):
             seen += len(terms)
             if tile_a == tile_b:
                 gain = scaled(count, totals[0][row]) - scaled(total, np.int64(of_lang))
-                yield _top_terms(lang, tile_a, row, gain, terms, by_name)
+                yield _top_terms(lang, tile_a * rows + row, gain, terms, by_name)
     if tile is not None:
-        yield _pairs(tile, sums, seen)
+        yield _pairs(tile, rows, sums, seen)
 
 
-def _top_terms(lang: str, tile: int, row: np.ndarray, gain: np.ndarray, terms: np.ndarray, by_name: np.ndarray) -> pa.RecordBatch:
+def _top_terms(lang: str, row: np.ndarray, gain: np.ndarray, terms: np.ndarray, by_name: np.ndarray) -> pa.RecordBatch:
     """Of each group the terms of this panel that may be among its first."""
     at = np.flatnonzero(gain > 0)
     at = at[np.lexsort((by_name[at], -gain[at], row[at]))]
     starts = np.flatnonzero(blocks.first_in_group(row[at])) if len(at) else np.zeros(0, np.int64)
     rank = np.arange(len(at)) - np.repeat(starts, np.diff(np.append(starts, len(at))))
     at = at[rank < TOP_TERMS]
-    return _batch(([lang] * len(at), row[at] + tile * TILE, [None] * len(at), gain[at], [None] * len(at), [terms[c].decode() for c in by_name[at]]))
+    return _batch(([lang] * len(at), row[at], [None] * len(at), gain[at], [None] * len(at), [terms[c].decode() for c in by_name[at]]))
 
 
 def _groups(docs: DataFrame, cells: DataFrame, lang: str, source: str) -> DataFrame:
@@ -336,7 +338,7 @@ def divergence(docs: DataFrame, lang: str = "lang", source: str = "source", text
     cells = durable(kept_cells(docs, lang, source, text, min_docs))
     groups = durable(_groups(docs, cells, lang, source))
     keys = ["lang", "tile_a", "tile_b", "panel"]
-    sent = durable(_tiled(cells, groups).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_tile_sums, _SENT))
+    sent = durable(_tiled(cells, groups).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(partial(_tile_sums, rows=TILE), _SENT))
     sums = sent.where("b is not null").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"), F.sum("cols").alias("cols"))
     both = sums.unionByName(sums.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "value", "cols"))
     base = F.expr(f"case when v > 0 then {SCALE * SMOOTHING} div total end")
