@@ -91,21 +91,45 @@ class Windows(ABC):
         """Two independent hashes of whole windows."""
 
 
+def _grouped(bucket: np.ndarray, hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order by (bucket, hash, place), and which of the ordered begin a new (bucket, hash).
+
+    One sort of single words, the leading bits of bucket and hash with the place below them,
+    does nearly all; where words agree before the place and hashes do not, these are put right.
+    """
+    if len(hashes) >= 1 << _PLACE:
+        order = np.lexsort((hashes, bucket))
+    else:
+        low = np.uint64(_PLACE)
+        word = (bucket.astype(np.uint64) << np.uint64(64 - bits) | hashes >> np.uint64(bits)) if bits else hashes.copy()
+        word = np.sort(word >> low << low | np.arange(len(hashes), dtype=np.uint64))
+        order = (word & np.uint64((1 << _PLACE) - 1)).astype(np.int64)
+        word >>= low
+        own = hashes[order]
+        alike = word[1:] == word[:-1]
+        if (alike & (own[1:] != own[:-1])).any():
+            run = np.append(0, np.cumsum(~alike))
+            mixed = np.isin(run, run[1:][alike & (own[1:] != own[:-1])])
+            there = np.flatnonzero(mixed)
+            order[there] = order[there[np.lexsort((order[there], own[there], run[there]))]]
+    return order, blocks.first_in_group(hashes[order]) | blocks.first_in_group(bucket[order])
+
+
 class Groups:
     """Equal pieces of a chunk; each group's first is of its smallest id."""
 
     def __init__(self, hashes: np.ndarray, second: np.ndarray, row: np.ndarray, ids: np.ndarray, buckets: int, within: bool):
+        bits = buckets.bit_length() - 1
         bucket = (second % np.uint64(buckets)).astype(np.int32)
-        self.order = np.lexsort((hashes, bucket))
-        new = blocks.first_in_group(hashes[self.order]) | blocks.first_in_group(bucket[self.order])
+        self.order, new = _grouped(bucket, hashes, bits)
         group = np.cumsum(new) - 1
         lead = self.order[new]
         # Groups stand by bucket and then by place, which keeps equal ids together.
-        by_place = np.lexsort((lead, bucket[lead]))
-        place = np.empty(len(lead), np.int64)
+        by_place = np.sort(bucket[lead].astype(np.int64) << 40 | lead) & (1 << 40) - 1
+        place = np.empty(len(bucket), np.int64)
         place[by_place] = np.arange(len(lead))
-        self.group = place[group]
-        lead = lead[by_place]
+        self.group = place[lead][group]
+        lead = by_place
         self.bucket, self.hash, self.id = bucket[lead], hashes[lead], ids[row[lead]]
         own = row[self.order]
         self.later = ids[own] > self.id[self.group]

@@ -26,6 +26,9 @@ LENGTH = 50
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 _PREFIX = LENGTH - PERIOD + 1
 _SAMPLED = np.isin(np.arange(PERIOD), COVER)
+# Odd multipliers of the hashes, and the positions hashed at a time.
+_FACTORS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
+_SLICE = 1 << 14
 
 
 class ByteWindows(Windows):
@@ -62,14 +65,29 @@ class ByteWindows(Windows):
         return self._joined(at, (0, 8, _PREFIX - 8), 3)
 
     def hashes(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        parts = (*range(0, LENGTH - 8, 8), LENGTH - 8)
-        return self._joined(starts, parts, 5), self._joined(starts, parts, 9)
+        return tuple(self._mixed(starts, (*range(0, LENGTH - 8, 8), LENGTH - 8), (5, 9)))
 
     def _joined(self, at: np.ndarray, parts: tuple[int, ...], seed: int) -> np.ndarray:
-        """A hash of the eight bytes at some distances from each position."""
-        out = np.full(len(at), seed, np.uint64)
-        for part in parts:
-            out = blocks.mix(out * np.uint64(0x9E3779B97F4A7C15) + self.eight[at + part])
+        return self._mixed(at, parts, (seed,))[0]
+
+    def _mixed(self, at: np.ndarray, parts: tuple[int, ...], seeds: tuple[int, ...]) -> np.ndarray:
+        """A hash for each seed of the eight bytes at some distances from each position.
+
+        Every eight bytes are fetched once for all seeds, in slices that stay in the cache. The
+        steps can be undone for given bytes, so strings that differ in one place differ.
+        """
+        out = np.empty((len(seeds), len(at)), np.uint64)
+        for a in range(0, len(at), _SLICE):
+            own = at[a : a + _SLICE]
+            lanes = [np.full(len(own), seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1, np.uint64) for seed in seeds]
+            for part in parts:
+                eight = self.eight[own + part]
+                for n, lane in enumerate(lanes):
+                    lane ^= eight
+                    lane *= _FACTORS[n]
+                    lane ^= lane >> np.uint64(32)
+            for n, lane in enumerate(lanes):
+                out[n, a : a + _SLICE] = blocks.mix(lane)
         return out
 
 
