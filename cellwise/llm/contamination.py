@@ -32,7 +32,7 @@ WALKS, SETS, STEPS = 6, 8, 24
 STARTS, EVERY = 12, 24
 ITEM_BYTES = 2 << 20
 # Places looked at together; what they match is held at once.
-PLACES = 8192
+PLACES = 2048
 
 _LOWER = blocks.lower_ascii()
 _WORD = np.zeros(256, bool)
