@@ -73,11 +73,15 @@ class DenseMatrix:
 
 @dataclass(frozen=True)
 class Vector:
-    """Vector of length ``n``; ``dense`` says that every index is present in ``df``."""
+    """Vector of length ``n``; ``dense`` says that every index is present in ``df``.
+
+    ``nonzeros`` is their number where a reader has counted them already.
+    """
 
     df: DataFrame
     n: int
     dense: bool = False
+    nonzeros: int | None = None
 
     def to_sparse(self) -> Vector:
         return Vector(self.df.where("x != 0"), self.n)
@@ -93,7 +97,7 @@ def coo_from_table(
 ) -> Matrix:
     """A table with row, column and value columns as a matrix.
 
-    Cells outside the shape are left out. Repeated (i, j) pairs are added up, then zeros
+    Cells outside the shape, and rows with a NULL index, are left out. Repeated (i, j) pairs are added up, then zeros
     are dropped. With ``duplicates="none"`` the caller vouches that no pair repeats, which spares the
     shuffle and lets the zero filter reach the scan.
     """
@@ -115,7 +119,7 @@ def vector_from_table(
 ) -> Vector:
     """A table with index and value columns as a vector of length ``n``.
 
-    Indices outside 0 .. n-1 are left out and repeated ones added up, so ``n`` bounds the
+    Indices that are NULL or outside 0 .. n-1 are left out and repeated ones added up, so ``n`` bounds the
     rows. With ``duplicates="none"`` the caller vouches that no index repeats, which spares
     the shuffle.
     """

@@ -12,6 +12,9 @@ below are about which rows move, and all rest on sizes that are known or measure
   :func:`_spread` cuts such an index into a grid of pieces of bounded work.
 * Sums combine before their shuffle, and absent rows are filled with zeros inside the
   same sum instead of by a join.
+* Where one left cell forms many products, the right matrix is stored as segments: the
+  cells of one inner index in one row. The left cells take their segments to the rows of
+  the result, and only there the segments are opened, so no product is ever shuffled.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellwise.functions.mixing import hashed
-from cellwise.model import DenseMatrix, Matrix, Shape, Vector, indices
+from cellwise.model import DenseMatrix, Matrix, Shape, Vector, drop_zeros, indices
 from cellwise.operators.profile import check_multiply, is_sparse, require_sparse_left
 from cellwise.session import BYTES_PER_CELL, fits_broadcast, shuffle_partitions, sized
 
@@ -33,6 +36,9 @@ PIECE_SIDE = 1 << 12
 # Products per left cell from which clustering rows moves clearly less than the products.
 ROW_CLUSTER_GAIN = 4
 
+# Cells of one inner index that one segment holds, and columns of a dense panel.
+SEGMENT = 4096
+
 
 def _sized(x: Vector) -> DataFrame:
     """The vector with the join hint its proven size allows."""
@@ -119,7 +125,9 @@ def spmm_strategy(spark: SparkSession, p: InnerProfile) -> str:
     """How to bring cells with equal inner index together.
 
     ``broadcast_right`` and ``broadcast_left`` where that side is proven small;
-    ``split`` where one index would form more products than one task should;
+    ``split`` where one index would form more products than one task should; ``segments``
+    where a left cell forms several products, no inner index outweighs an average partition
+    and no row of the result is more than one task should hold;
     ``hash_right`` and ``hash_left`` where one shuffled partition of that side, its
     fullest index included, fits a hash table; else ``merge``.
     """
@@ -130,6 +138,9 @@ def spmm_strategy(spark: SparkSession, p: InnerProfile) -> str:
         return "broadcast_left"
     if p.heaviest > PIECE_WORK:
         return "split"
+    even = p.left_top * parts <= p.left and p.right_top * parts <= p.right
+    if even and p.products > ROW_CLUSTER_GAIN * p.left and p.fullest_row * p.right_top <= PIECE_WORK:
+        return "segments"
     if p.right <= p.left and fits_broadcast(spark, p.right // parts + p.right_top):
         return "hash_right"
     if fits_broadcast(spark, p.left // parts + p.left_top):
@@ -164,6 +175,37 @@ def _spread(a: DataFrame, b: DataFrame, counts: DataFrame) -> tuple[DataFrame, D
     )
 
 
+def _clustered(m: Matrix, key: str) -> DataFrame:
+    """The cells of a matrix, those with one ``key`` together; repeated ones are added up there.
+
+    One shuffle does both. Only for keys of bounded counts: nothing is combined before it.
+    """
+    if m.terms is None:
+        return m.df.repartition(key)
+    return drop_zeros(m.terms.repartition(key).groupBy("i", "j").agg(F.sum("v").alias("v")))
+
+
+def row_segments(b: Matrix, top: int, width: int = SEGMENT) -> DataFrame:
+    """The matrix stored as (k, segment, cells): the (j, b_v) of one row in one array.
+
+    ``top`` bounds the cells of a row. Rows of more than ``width`` cells are cut by column,
+    so that no segment holds more than ``width`` of them.
+    """
+    cell = F.struct("j", F.col("v").alias("b_v"))
+    if top <= width:
+        rows = _clustered(b, "i").groupBy(F.col("i").alias("k"))
+        return rows.agg(F.collect_list(cell).alias("cells")).select("k", F.lit(0).cast("bigint").alias("segment"), "cells")
+    rows = b.df.groupBy(F.col("i").alias("k"), F.expr(f"j div {width}").alias("segment"))
+    return rows.agg(F.collect_list(cell).alias("cells"))
+
+
+def _segment_product(a: Matrix, b: Matrix, p: InnerProfile) -> DataFrame:
+    """Cells of the product: segments travel to the rows of ``a`` and are opened there."""
+    left = _clustered(a, "j").select("i", F.col("j").alias("k"), F.col("v").alias("a_v"))
+    met = left.join(row_segments(b, p.right_top), "k").select("i", "a_v", "cells").repartition("i")
+    return _cell_sums(met.select("i", "a_v", F.inline("cells")))
+
+
 def _cell_sums(joined: DataFrame) -> DataFrame:
     return joined.groupBy("i", "j").agg(F.sum(F.col("a_v") * F.col("b_v")).alias("v"))
 
@@ -177,6 +219,8 @@ def spmm(a: Matrix, b: Matrix, profile: InnerProfile | None = None) -> Matrix:
     spark = a.df.sparkSession
     p = profile or inner_profile(a, b)
     strategy = spmm_strategy(spark, p)
+    if strategy == "segments":
+        return Matrix(_segment_product(a, b, p), Shape(a.shape.rows, b.shape.cols))
     left = a.df.select("i", F.col("j").alias("k"), F.col("v").alias("a_v"))
     right = b.df.select(F.col("i").alias("k"), "j", F.col("v").alias("b_v"))
     keys = ["k"]
@@ -199,33 +243,59 @@ def spmm(a: Matrix, b: Matrix, profile: InnerProfile | None = None) -> Matrix:
     return Matrix(_cell_sums(left.join(right, keys)), Shape(a.shape.rows, b.shape.cols))
 
 
+def dense_panels(b: DenseMatrix, width: int = SEGMENT) -> DataFrame:
+    """The matrix stored as (k, first, values): its rows cut into panels of ``width`` columns."""
+    if b.shape.cols <= width:
+        return b.df.select("k", F.lit(0).cast("bigint").alias("first"), F.col("row").alias("values"))
+    firsts = F.sequence(F.lit(0).cast("bigint"), F.lit(b.shape.cols - 1).cast("bigint"), F.lit(width).cast("bigint"))
+    cut = b.df.select("k", "row", F.explode(firsts).alias("first"))
+    return cut.select("k", "first", F.slice("row", (F.col("first") + 1).cast("int"), width).alias("values"))
+
+
 def spdm(a: Matrix, b: DenseMatrix) -> Matrix:
     """The same for a dense B, whose zeros take part and give stored zeros.
 
-    B's rows travel whole through the join, one per inner index, and are opened into
-    cells after it.
+    B's rows travel as panels, one row for each panel of an inner index. Where no row of the
+    result is more than one task should hold, the left cells bring their panels to it and
+    these are opened there, so that no product is shuffled; else products are added up
+    before they move.
     """
     check_multiply(a.shape, b.shape)
     spark = a.df.sparkSession
     left = a.df.select("i", F.col("j").alias("k"), F.col("v").alias("a_v"))
-    right = b.df.select("k", "row")
+    right = dense_panels(b)
     keys = ["k"]
+    width = max(1, b.shape.cols)
+    fullest, busiest, cells = _left_counts(a)
+    gather = fullest * width <= PIECE_WORK and fullest * shuffle_partitions(spark) <= cells
     if fits_broadcast(spark, b.shape.rows, BYTES_PER_CELL + 8 * b.shape.cols):
         right = F.broadcast(right)
-    else:
+        left = left.repartition("i") if gather else left
+    elif busiest * width > PIECE_WORK:
         # One right row per index: cut the left side where its count times B's width is heavy.
-        limit = max(1, PIECE_WORK // max(1, b.shape.cols))
+        limit = max(1, PIECE_WORK // width)
         counts = inner_counts(a.df, "j", "a").where(F.col("a") > limit)
-        heavy, n = sized(counts.select("k", F.ceil(F.col("a") / F.lit(limit)).alias("p_n")))
-        if n:
-            p_n = F.coalesce(F.col("p_n"), F.lit(1)).cast("bigint")
-            left = left.join(heavy, "k", "left").withColumn("p", F.pmod(hashed(F.col("i")), p_n)).drop("p_n")
-            every = F.explode(F.sequence(F.lit(0).cast("bigint"), p_n - 1))
-            right = right.join(heavy, "k", "left").withColumn("p", every).drop("p_n")
-            keys = ["k", "p"]
-    cells = left.join(right, keys).select("i", "a_v", F.posexplode("row").alias("j", "b_v"))
-    cells = cells.withColumn("j", F.col("j").cast("bigint"))
-    return Matrix(_cell_sums(cells), Shape(a.shape.rows, b.shape.cols))
+        heavy, _ = sized(counts.select("k", F.ceil(F.col("a") / F.lit(limit)).alias("p_n")))
+        p_n = F.coalesce(F.col("p_n"), F.lit(1)).cast("bigint")
+        left = left.join(heavy, "k", "left").withColumn("p", F.pmod(hashed(F.col("i")), p_n)).drop("p_n")
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), p_n - 1))
+        right = right.join(heavy, "k", "left").withColumn("p", every).drop("p_n")
+        keys = ["k", "p"]
+    met = left.join(right, keys).select("i", "a_v", "first", "values")
+    if gather and not fits_broadcast(spark, b.shape.rows, BYTES_PER_CELL + 8 * b.shape.cols):
+        met = met.repartition("i")
+    opened = met.select("i", "a_v", "first", F.posexplode("values").alias("at", "b_v"))
+    return Matrix(_cell_sums(opened.withColumn("j", F.col("first") + F.col("at"))), Shape(a.shape.rows, b.shape.cols))
+
+
+def _left_counts(a: Matrix) -> tuple[int, int, int]:
+    """Upper bounds on the cells of the fullest row and of the fullest column, and on all cells."""
+    found = [0, 0, 0]
+    by = [a.summands.groupBy(F.col(key).alias("k")).agg(F.count("*").alias("n")).agg(F.max("n").alias("top"), F.sum("n").alias("cells")).withColumn("side", F.lit(side)) for side, key in enumerate("ij")]
+    for row in by[0].unionByName(by[1]).collect():
+        found[row["side"]] = row["top"] or 0
+        found[2] = row["cells"] or 0
+    return found[0], found[1], found[2]
 
 
 def multiply(
@@ -249,7 +319,7 @@ def multiply(
         cells = b.cells() if isinstance(b, DenseMatrix) else b.df
         index = "j" if lying else "i"
         length = b.shape.cols if lying else b.shape.rows
-        x = Vector(cells.select(F.col(index).alias("k"), F.col("v").alias("x")), length, isinstance(b, DenseMatrix))
+        x = Vector(cells.select(F.col(index).alias("k"), F.col("v").alias("x")), length, isinstance(b, DenseMatrix), b.nonzeros)
         return spmspv(a, x) if is_sparse(x) else spmv(a, x)
     if isinstance(b, DenseMatrix):
         return spdm(a, b)
@@ -259,9 +329,30 @@ def multiply(
 def multiply_text(
     spark: SparkSession, left: str, right: str, require_sparse_left_operand: bool = True
 ) -> Vector | Matrix:
-    """Multiply two text grids. The right one is kept dense when it is not sparse."""
+    """Multiply two text grids. The right one is kept dense when it is not sparse.
+
+    Each file is scanned twice: once to count and measure it, once for the product.
+    """
     from cellwise.sources.text import read_dense, read_grid
 
     a = read_grid(spark, left)
     b = read_dense(spark, right)
     return multiply(a, b.to_sparse() if is_sparse(b) else b, require_sparse_left_operand)
+
+
+def multiply_text_lenient(spark: SparkSession, left: str, right: str, vector: bool) -> Vector | Matrix:
+    """Multiply lenient text: tokens that are no number are skipped, no operand is refused.
+
+    ``vector`` says that the right file is a vector, lying or standing; then only rows that
+    met an entry of it come out, zeros of the file being entries. A right matrix may have more
+    or fewer rows than the left has columns: what has no counterpart forms no product.
+    """
+    from cellwise.sources.text import read_grid, read_vector
+
+    a = read_grid(spark, left, "lenient")
+    if vector:
+        x = read_vector(spark, right, first_line_only=True)
+        return spmv(Matrix(a.df, Shape(a.shape.rows, x.n)), x, zero_fill=False)
+    b = read_grid(spark, right, "lenient")
+    inner = max(a.shape.cols, b.shape.rows)
+    return spmm(Matrix(a.df, Shape(a.shape.rows, inner)), Matrix(b.df, Shape(inner, b.shape.cols)))

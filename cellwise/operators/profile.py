@@ -55,10 +55,14 @@ def matrix_sparsity(m: Matrix) -> DataFrame:
 
 def is_sparse(operand: Matrix | DenseMatrix | Vector) -> bool:
     if isinstance(operand, Vector):
-        nonzeros = operand.df.where("x != 0").count()
+        nonzeros = operand.df.where("x != 0").count() if operand.nonzeros is None else operand.nonzeros
         return operand.n == 0 or nonzeros / operand.n < SPARSE_BELOW
     if operand.nonzeros is not None:
         return operand.shape.cells == 0 or operand.nonzeros / operand.shape.cells < SPARSE_BELOW
+    if isinstance(operand, Matrix) and operand.terms is not None:
+        # Repeats only lower the number of cells, so few terms settle it without adding them up.
+        if operand.terms.where("v != 0").count() < SPARSE_BELOW * operand.shape.cells:
+            return True
     cells = operand.to_sparse() if isinstance(operand, DenseMatrix) else operand
     return matrix_sparsity(cells).first().is_sparse
 

@@ -10,72 +10,84 @@ drops empty tokens before counting columns and skips tokens that are no number.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellwise.functions.text import filled_tokens, is_numeric_line, normalized_line, number, tokens, trimmed
 from cellwise.model import DenseMatrix, Matrix, Shape, Vector, drop_zeros
-from cellwise.session import fits_broadcast, size_setting
+from cellwise.operators.prefix import prefix_sums
+from cellwise.session import fits_broadcast
 
 # One block of the line index: file path, start, count, first id.
 _BYTES_PER_BLOCK = 512
 
 
-def read_lines(spark: SparkSession, paths: str | list[str], keep: str = "all") -> DataFrame:
-    """Numbered lines in file order, files in path order.
+@dataclass(frozen=True)
+class ScannedLines:
+    """Numbered lines (row, value) with what the first scan has counted.
+
+    ``narrowest`` and ``widest`` are token counts of a line, ``nonzeros`` numbers that are not
+    zero, for the tokens that the mode reads; all 0 where there is no line.
+    """
+
+    df: DataFrame
+    count: int
+    narrowest: int
+    widest: int
+    nonzeros: int
+
+
+def scan_lines(spark: SparkSession, paths: str | list[str], keep: str = "all") -> ScannedLines:
+    """Numbered lines in file order, files in path order, counted and measured in one scan.
 
     ``keep`` is ``all``, ``filled`` (no blank lines) or ``numeric``; lines are numbered
     after that filter. A scan task reads whole file blocks, so ids grow by one within a
-    block; the row number is the block's offset plus the distance to its first id. Only
-    the per-block counts are brought together; they go to the lines, not the lines to
-    them, as long as the number of blocks, known from the file listing, fits a broadcast.
+    block; the row number is the block's offset plus the distance to its first id. One row a
+    block is written down, with its counts; offsets are prefix sums over these in two levels,
+    and go to the lines by a join, broadcast if the counted blocks fit.
     """
     lines = spark.read.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
     )
+    numeric = keep == "numeric"
     if keep == "filled":
         lines = lines.where(trimmed(F.col("value")) != "")
-    elif keep == "numeric":
+    elif numeric:
         lines = lines.where(is_numeric_line(F.col("value")))
     elif keep != "all":
         raise ValueError(f"keep must be 'all', 'filled' or 'numeric', not {keep!r}")
     lines = lines.withColumn("id", F.monotonically_increasing_id())
 
-    blocks = lines.groupBy("file", "start").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
-    files = blocks.groupBy("file").agg(F.sum("n").alias("file_n"))
-    # One row per input file here, the list the driver has already built to plan the scan.
-    file_offset = files.select(
-        "file",
-        F.coalesce(
-            F.sum("file_n").over(_before(Window.orderBy("file"))), F.lit(0)
-        ).alias("file_offset"),
+    parts = tokens(F.col("value")) if numeric else filled_tokens(F.col("value"))
+    values = F.transform(parts, lambda t: t.try_cast("double") if numeric else number(t))
+    width = F.size(parts)
+    blocks = lines.groupBy("file", "start").agg(
+        F.count("*").alias("n"),
+        F.min("id").alias("first_id"),
+        F.min(width).alias("narrowest"),
+        F.max(width).alias("widest"),
+        F.sum(F.size(F.filter(values, lambda x: x != 0))).alias("nonzeros"),
     )
-    in_file = _before(Window.partitionBy("file").orderBy("start"))
-    offsets = blocks.select(
-        "file", "start", "first_id", F.coalesce(F.sum("n").over(in_file), F.lit(0)).alias("block_offset")
-    ).join(file_offset, "file")
-    if fits_broadcast(spark, _block_bound(spark, paths), _BYTES_PER_BLOCK):
+    offsets = prefix_sums(blocks, ["file", "start"], "n", "offset")
+    found = offsets.agg(
+        F.count("*"), *(F.coalesce(f, F.lit(0)) for f in (F.sum("n"), F.min("narrowest"), F.max("widest"), F.sum("nonzeros")))
+    ).first()
+    offsets = offsets.select("file", "start", "first_id", "offset")
+    if fits_broadcast(spark, found[0], _BYTES_PER_BLOCK):
         offsets = F.broadcast(offsets)
-    return lines.join(offsets, ["file", "start"]).select(
-        (F.col("file_offset") + F.col("block_offset") + F.col("id") - F.col("first_id")).alias("row"), "value"
+    numbered = lines.join(offsets, ["file", "start"]).select(
+        (F.col("offset") + F.col("id") - F.col("first_id")).alias("row"), "value"
     )
+    return ScannedLines(numbered, *found[1:])
 
 
-def _before(window: WindowSpec) -> WindowSpec:
-    return window.rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _block_bound(spark: SparkSession, paths: str | list[str]) -> int:
-    """Upper bound on the number of file blocks the scan is cut into (file listing only)."""
-    files = spark.read.format("binaryFile").load(paths).select("length")
-    total, count = files.agg(F.sum("length"), F.count("*")).first()
-    open_cost = size_setting(spark, "spark.sql.files.openCostInBytes", "4194304")
-    limit = size_setting(spark, "spark.sql.files.maxPartitionBytes", "134217728")
-    per_core = ((total or 0) + count * open_cost) // max(1, spark.sparkContext.defaultParallelism)
-    split = min(limit, max(open_cost, per_core))
-    return count + (total or 0) // split
+def read_lines(spark: SparkSession, paths: str | list[str], keep: str = "all") -> DataFrame:
+    """Numbered lines (row, value) of text files; see :func:`scan_lines`."""
+    return scan_lines(spark, paths, keep).df
 
 
 def numeric_lines(lines: DataFrame) -> DataFrame:
@@ -134,16 +146,27 @@ def grid_matrix(lines: DataFrame, mode: str = "strict") -> Matrix:
     raise ValueError(f"mode must be 'strict' or 'lenient', not {mode!r}")
 
 
+def _strict_shape(lines: ScannedLines) -> Shape:
+    if lines.narrowest != lines.widest:
+        raise ValueError(f"ragged rows: between {lines.narrowest} and {lines.widest} columns")
+    return Shape(lines.count, lines.widest)
+
+
 def read_grid(spark: SparkSession, paths: str | list[str], mode: str = "strict") -> Matrix:
-    """Text grid as a sparse matrix."""
-    return grid_matrix(read_lines(spark, paths, "numeric" if mode == "strict" else "all"), mode)
+    """Text grid as a sparse matrix; one scan counts and measures it, one more reads the cells."""
+    if mode == "strict":
+        lines = scan_lines(spark, paths, "numeric")
+        return Matrix(strict_cells(lines.df), _strict_shape(lines), nonzeros=lines.nonzeros)
+    if mode == "lenient":
+        lines = scan_lines(spark, paths)
+        return Matrix(lenient_cells(lines.df), Shape(lines.count, lines.widest), nonzeros=lines.nonzeros)
+    raise ValueError(f"mode must be 'strict' or 'lenient', not {mode!r}")
 
 
 def read_dense(spark: SparkSession, paths: str | list[str]) -> DenseMatrix:
     """Text grid as a dense matrix; empty input gives 0x0, ragged rows are an error."""
-    lines = read_lines(spark, paths, "numeric")
-    shape, nonzeros = _measured(lines)
-    return DenseMatrix(dense_lines(lines), shape, nonzeros)
+    lines = scan_lines(spark, paths, "numeric")
+    return DenseMatrix(dense_lines(lines.df), _strict_shape(lines), lines.nonzeros)
 
 
 def read_vector(
@@ -161,22 +184,21 @@ def read_vector(
     input skips tokens that are no number but keeps their index; strict input drops
     lines that are not numeric and fails on a column line with several values.
     """
-    lines = read_lines(spark, paths, "numeric" if mode == "strict" else "filled")
-    first = lines.where("row = 0")
-    width = F.size(filled_tokens(F.col("value")))
-    head = first.select(F.col("value").contains(",").alias("comma"), width.alias("width")).first()
-    if head is None:
+    scanned = scan_lines(spark, paths, "numeric" if mode == "strict" else "filled")
+    lines = scanned.df
+    if scanned.count == 0:
         raise ValueError("empty vector input")
+    first = lines.where("row = 0")
     if orientation == "auto":
-        orientation = "row" if head.comma else "column"
+        orientation = "row" if first.where(F.col("value").contains(",")).head() else "column"
     if orientation == "row":
-        if not first_line_only and lines.where("row = 1").head() is not None:
+        if not first_line_only and scanned.count > 1:
             raise ValueError("not a row vector: there are several lines")
-        n = head.width
+        n = first.select(F.size(filled_tokens(F.col("value")))).head()[0]
         pairs = first.select(F.posexplode(filled_tokens(F.col("value"))).alias("k", "t"))
     elif orientation == "column":
-        n, widest = lines.agg(F.count("*"), F.max(width)).first()
-        if mode == "strict" and widest > 1:
+        n = scanned.count
+        if mode == "strict" and scanned.widest > 1:
             raise ValueError("not a column vector: a line holds several values")
         pairs = lines.select(F.col("row").alias("k"), F.col("value").alias("t"))
     else:

@@ -219,3 +219,57 @@ def test_partition_count_does_not_matter(spark, setting):
     expected = grid(cw.spmm(sparse(spark, C), sparse(spark, C)))
     setting("spark.sql.shuffle.partitions", "13")
     assert np.array_equal(grid(cw.spmm(sparse(spark, C), sparse(spark, C))), expected)
+
+
+def test_segments_bring_no_product_into_a_shuffle(spark, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    a = generate.uniform_rows(spark, 400, 90, 0.06)
+    b = generate.uniform_rows(spark, 90, 70, 0.4, seed=3)
+    profile = mul.inner_profile(a, b)
+    assert mul.spmm_strategy(spark, profile) == "segments"
+    product = cw.spmm(a, b, profile)
+    assert np.allclose(grid(product), grid(a) @ grid(b))
+    final = product.df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # The plan is written from the result down: what is opened is never exchanged again.
+    assert "Exchange" not in final.split("Generate inline")[0] and final.count("Exchange hashpartitioning") == 3
+
+
+def test_segments_add_up_repeated_cells_and_cut_long_rows(spark, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rng = np.random.default_rng(4)
+    i, j, v = rng.integers(0, 60, 900), rng.integers(0, 40, 900), rng.integers(-3, 4, 900)
+    table = spark.createDataFrame([(int(a), int(b), float(c)) for a, b, c in zip(i, j, v, strict=True)], "i bigint, j bigint, v double")
+    a, b = cw.coo_from_table(table, "i", "j", "v", Shape(60, 40)), cw.coo_from_table(table, "j", "i", "v", Shape(40, 60))
+    dense_a = grid(a)
+    profile = mul.inner_profile(a, b)
+    for width in (mul.SEGMENT, 7):
+        parts = mul.row_segments(b, profile.right_top, width)
+        assert parts.selectExpr("max(size(cells))").first()[0] <= max(width, 60)
+        if width == 7:
+            assert parts.where("size(cells) > 7").count() == 0 and parts.where("segment > 0").count() > 0
+        cells = {(r["k"], c["j"]): c["b_v"] for r in parts.collect() for c in r["cells"]}
+        assert cells == {(k, m): dense_a[m, k] for k in range(40) for m in range(60) if dense_a[m, k]}
+    assert np.array_equal(grid(Matrix(mul._segment_product(a, b, profile), Shape(60, 60))), dense_a @ dense_a.T)
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_dense_panels_bring_no_product_into_a_shuffle(spark, setting, monkeypatch, threshold):
+    setting("spark.sql.autoBroadcastJoinThreshold", threshold)
+    monkeypatch.setattr(mul, "SEGMENT", 8)
+    a = generate.uniform_rows(spark, 300, 40, 0.1)
+    right = np.random.default_rng(2).integers(-4, 5, (40, 21)).tolist()
+    monkeypatch.setattr(mul.dense_panels, "__defaults__", (8,))
+    product = cw.spdm(a, dense(spark, right))
+    assert np.allclose(grid(product), grid(a) @ np.array(right))
+    final = product.df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Exchange" not in final.split("Generate posexplode")[0]
+
+
+def test_generated_rows_fill_all_partitions(spark, setting, monkeypatch):
+    setting("spark.sql.shuffle.partitions", "6")
+    for chunk in (1 << 16, 16):
+        monkeypatch.setattr(generate, "_ROW_CHUNK", chunk)
+        matrices = [generate.uniform_rows(spark, 600, 90, 0.5), generate.banded(spark, 600, 600, 30), generate.upper_triangular(spark, 200), generate.row_hotspot(spark, 600, 90, 0.05, 5)]
+        for m in matrices:
+            counts = [r["count"] for r in m.df.groupBy(F.spark_partition_id()).count().collect()]
+            assert len(counts) >= 4 and max(counts) < 2.5 * sum(counts) / len(counts)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from cellwise.functions.text import INVISIBLE, clipped, number, tokens
 from cellwise.model import Shape
 from cellwise.operators import profile
-from cellwise.operators.multiply import multiply_text
+from cellwise.operators.multiply import multiply_text, multiply_text_lenient
+from cellwise.operators.prefix import prefix_sums
 from cellwise.sources import text
 
 BOM = "﻿"
@@ -169,3 +170,53 @@ def test_multiply_text(spark, tmp_path):
         assert values(y).tolist() == [31, 14, 0, 20]
     with pytest.raises(ValueError, match="not sparse"):
         multiply_text(spark, text_file(tmp_path / "b.csv", csv(B)), left)
+
+
+def test_thousands_of_small_files_are_numbered_without_one_window(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    rng = np.random.default_rng(1)
+    lines = []
+    for n in range(1500):
+        own = [f"{n}:{k}" for k in range(int(rng.integers(0, 4)))]
+        (folder / f"{n:05d}.txt").write_text("".join(f"{line}\n" for line in own))
+        lines += own
+    scanned = text.scan_lines(spark, str(folder))
+    assert [(r.row, r.value) for r in scanned.df.orderBy("row").collect()] == list(enumerate(lines)) and scanned.count == len(lines)
+    assert "Window" not in scanned.df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_prefix_sums_over_several_ranges(spark, setting):
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    values = [(n, (n * 7) % 5) for n in range(1000)]
+    df = spark.createDataFrame(values[::-1], "k bigint, n bigint").repartition(5)
+    sums = prefix_sums(df, ["k"], "n", "before")
+    assert sums.select(F.spark_partition_id()).distinct().count() > 1
+    assert sorted(tuple(r) for r in sums.collect()) == [(k, n, sum(v for _, v in values[:k])) for k, n in values]
+    assert prefix_sums(df.where("false"), ["k"], "n", "before").count() == 0
+
+
+def test_lenient_text_products(spark, tmp_path):
+    left = text_file(tmp_path / "a.csv", "1,x,2\n,3\n\n0,4,5,6\n")
+    lying = text_file(tmp_path / "x.csv", "\n1,0,?,2\n9,9\n")
+    standing = text_file(tmp_path / "y.csv", "1\n0\nz\n2\n")
+    # Tokens move left past an empty one; rows that meet no entry are missing, entries may be zero.
+    for path in (lying, standing):
+        found = multiply_text_lenient(spark, left, path, vector=True)
+        assert {r.k: r.x for r in found.df.collect()} == {0: 1.0, 1: 3.0, 3: 12.0}
+    right = text_file(tmp_path / "b.csv", "1,2\n3\n0,q,5\n")
+    product = multiply_text_lenient(spark, left, right, vector=False)
+    cells = {(r.i, r.j): r.v for r in product.df.collect()}
+    assert str(product.shape) == "4x3" and cells == {(0, 0): 1.0, (0, 1): 2.0, (0, 2): 10.0, (1, 0): 3.0, (1, 1): 6.0, (3, 0): 12.0, (3, 2): 25.0}
+
+
+def test_each_text_file_of_a_product_is_scanned_twice(spark, tmp_path, monkeypatch):
+    from cellwise.operators import multiply as mul
+
+    scans = []
+    scan = text.scan_lines
+    monkeypatch.setattr(text, "scan_lines", lambda *a, **k: scans.append(a[1]) or scan(*a, **k))
+    paths = [text_file(tmp_path / n, "1,0,0\n0,0,2\n0,0,0\n") for n in ("l.csv", "r.csv")]
+    product = mul.multiply_text(spark, *paths)
+    assert scans == paths
+    assert {(r.i, r.j): r.v for r in product.df.collect()} == {(0, 0): 1.0}
