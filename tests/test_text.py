@@ -183,7 +183,7 @@ def test_thousands_of_small_files_are_numbered_without_one_window(spark, tmp_pat
         lines += own
     scanned = text.scan_lines(spark, str(folder))
     assert [(r.row, r.value) for r in scanned.df.orderBy("row").collect()] == list(enumerate(lines)) and scanned.count == len(lines)
-    assert "Window" not in scanned.df._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in scanned.df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_prefix_sums_over_several_ranges(spark, setting):
