@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellwise.functions.text import filled_tokens, number, tokens, trimmed
@@ -141,6 +141,24 @@ def classify_vector_files(lines: DataFrame, file: str = "file", value: str = "va
     return stats.select(file, "lines", kind.alias("kind"))
 
 
+def classify_text_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The same for text files by path, those without a line included.
+
+    The listing that the driver has made to plan the scan is joined to what the lines give,
+    since a file without a line gives no row to count. Paths are written with one slash
+    after their scheme.
+    """
+    text = spark.read.text(paths)
+    listed = spark.createDataFrame([(path,) for path in text.inputFiles()], "file string")
+
+    def plain(path):
+        return F.regexp_replace(path, "^([A-Za-z0-9]+):/+", "$1:/")
+
+    lines = text.select(plain(F.col("_metadata.file_path")).alias("file"), "value")
+    found = listed.select(plain(F.col("file")).alias("file")).join(classify_vector_files(lines), "file", "left")
+    return found.select("file", F.coalesce("lines", F.lit(0)).alias("lines"), F.coalesce("kind", F.lit("empty")).alias("kind"))
+
+
 def result_cells(shapes: DataFrame) -> DataFrame:
     """Add the result size and the too-big-to-save flag to (a_rows, b_cols) pairs."""
     cells = F.col("a_rows").cast("bigint") * F.greatest(F.col("b_cols"), F.lit(1))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellwise.operators.asof import latest_mark
 from cellwise.operators.ranks import joined_on, middle_ranks, nearest_ranks, order_statistics
 
 # Columns of the summary tables, in order.
@@ -119,7 +120,8 @@ def _by_engine(trials: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 # The fields of Spark's event log that are summed up.
 _EVENT_SCHEMA = """
-`Event` string,
+`Event` string, `Submission Time` bigint,
+`Task Info` struct<`Finish Time`: bigint>, `Stage Info` struct<`Completion Time`: bigint>,
 `Task Metrics` struct<
   `Executor Run Time`: bigint, `JVM GC Time`: bigint,
   `Memory Bytes Spilled`: bigint, `Disk Bytes Spilled`: bigint,
@@ -135,19 +137,17 @@ def read_event_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.text(paths).select(F.col("_metadata.file_path").alias("label"), F.col("value").alias("line"))
 
 
-def event_log_rollup(lines: DataFrame) -> DataFrame:
-    """Run metrics per label from event-log lines (label, line).
-
-    Job, stage and task counts, byte sums, GC time, and percentiles of the task times.
-    """
+def _parsed(lines: DataFrame) -> DataFrame:
+    """The figures of each event of (label, line), and its time in milliseconds."""
     # Opened by a generator, which filters on the fields do not pass: each line is parsed once.
     events = lines.select("label", F.inline(F.array(F.from_json("line", _EVENT_SCHEMA))))
     m = F.col("Task Metrics")
     is_task = F.col("Event") == "SparkListenerTaskEnd"
     read = m["Shuffle Read Metrics"]
-    flat = events.select(
+    return events.select(
         "label",
         F.col("Event").alias("event"),
+        F.coalesce(F.col("Task Info")["Finish Time"], F.col("Stage Info")["Completion Time"], "Submission Time").alias("time_ms"),
         F.when(is_task, m["Executor Run Time"]).alias("run_ms"),
         F.when(is_task, m["JVM GC Time"]).alias("gc_ms"),
         F.when(is_task, m["Memory Bytes Spilled"]).alias("mem_spill_bytes"),
@@ -158,6 +158,28 @@ def event_log_rollup(lines: DataFrame) -> DataFrame:
         F.when(is_task, m["Shuffle Write Metrics"]["Shuffle Bytes Written"]).alias("shuffle_write_bytes"),
     )
 
+
+def event_log_rollup(lines: DataFrame) -> DataFrame:
+    """Run metrics per label from event-log lines (label, line).
+
+    Job, stage and task counts, byte sums, GC time, and percentiles of the task times.
+    """
+    return _rolled_up(_parsed(lines))
+
+
+def event_log_runs(lines: DataFrame, runs: DataFrame) -> DataFrame:
+    """The same for each run of (label, run, time_ms, end_ms) within the logs; ``label`` is the run.
+
+    An event belongs to the run of its log that has begun last, if that has not ended before
+    it; both edges are within the run. A task counts by its finish, a stage by its completion,
+    a job by its submission. Runs of one log do not overlap; a run without events has no row.
+    """
+    found = latest_mark(_parsed(lines), runs.select("label", "run", "time_ms", "end_ms"), "label", "time_ms", "mark")
+    inside = found.where(F.col("time_ms") <= F.col("mark")["end_ms"])
+    return _rolled_up(inside.withColumn("label", F.col("mark")["run"]))
+
+
+def _rolled_up(flat: DataFrame) -> DataFrame:
     def events_of(kind: str, name: str) -> Column:
         return F.count(F.when(F.col("event") == kind, 1)).alias(name)
 

@@ -250,6 +250,10 @@ def oracle_sql() -> dict[str, str]:
           from customer join nation on c_nationkey = n_nationkey cross join (select unnest([0, 1]) j)""",
         "multiply_text_row": """select c_custkey as k, cast(n_regionkey as double) as x
           from customer join nation on c_nationkey = n_nationkey""",
+        "multiply_text_lenient_vector": """select p_partkey as k, cast(p_size + p_partkey % 3 * 4 as double) as x from part""",
+        "multiply_text_lenient_matrix": """with a as (select p_partkey i, unnest([0, 2, 3]) k, unnest([p_size, p_partkey % 7, p_partkey % 3]) v from part),
+          b as (select cast(r_regionkey as bigint) k, unnest([0, 2]) j, unnest([r_regionkey + 1, r_regionkey * 2]) v from region)
+          select i, cast(j as bigint) as j, cast(sum(a.v * b.v) as double) as v from a join b on a.k = b.k and a.v <> 0 and b.v <> 0 group by 1, 2""",
         "spmv_repeated_keys": matrix_vector(
             transposed, "select l_partkey k, sum(l_quantity) x from lineitem group by 1", "supplier", "s_suppkey"
         ),
@@ -300,6 +304,10 @@ def oracle_sql() -> dict[str, str]:
              from c where value is not null group by 1)
           select file, lines, case when lines = 1 and ok then 'row vector' when lines = 1 then 'single line with other text'
              when widest = 1 and ok then 'column vector' else 'neither' end as kind from s""",
+        "vector_files": """with l as (select o_custkey % 40 f, count(*) n from orders where o_custkey % 4 < 3 group by 1)
+          select cast(f as varchar) as file, n as lines, case when n = 1 and f % 4 < 2 then 'row vector' when n = 1 then 'single line with other text'
+            when f % 4 = 0 then 'column vector' else 'neither' end as kind from l
+          union all select 'none', 0, 'empty'""",
         "result_cells": """select p_partkey, p_partkey * 100 as a_rows, p_size - 1 as b_cols,
             p_partkey * 100 * greatest(p_size - 1, 1) as cells,
             p_partkey * 100 * greatest(p_size - 1, 1) > 2000000 as preview_used from part""",
@@ -364,6 +372,17 @@ def oracle_sql() -> dict[str, str]:
             max(a) filter (where task) as max_ms from e group by 1)
           select s.label, jobs, stages, tasks, shuffle_read_bytes, shuffle_write_bytes, input_bytes, output_bytes,
             mem_spill_bytes, disk_spill_bytes, gc_ms, p50_ms, p90_ms, p99_ms, max_ms from s join p on s.label = p.label""",
+        "event_log_runs": f"""with e as (select epoch_ms(ts) ms, event_id, cast(floor(value) as bigint) a, event_id % 10 = 0 job from events),
+          m as (select cast(event_id as varchar) label, ms from e where event_id % 40 = 0),
+          j as (select e.*, m.label from e asof join m on e.ms >= m.ms where e.ms <= m.ms + 3600000),
+          r as (select label, a, row_number() over (partition by label order by a) rn, count(*) over (partition by label) n
+            from j where not job and a is not null),
+          p as (select label, {nearest("a", 0.5)} as p50_ms from r group by 1)
+          select j.label, count(*) filter (where job) as jobs, count(*) filter (where not job) as tasks,
+            cast(coalesce(sum(a * 3) filter (where not job), 0) as bigint) as input_bytes, cast(coalesce(sum(event_id % 5) filter (where not job), 0) as bigint) as gc_ms,
+            coalesce(any_value(p50_ms), 0) as p50_ms, coalesce(max(a) filter (where not job), 0) as max_ms
+          from j left join p on j.label = p.label group by 1""",
+        "gen_power_law_exact": "select (select count(*) from part) as n_rows, (select count(*) from lineitem) as draws",
         "gen_identity": SIZES,
         "gen_diagonal": "select p_partkey as k, cast(p_size * (p_partkey % 5 + 1) as double) as x from part",
         "gen_zero": "select p_partkey as k, cast(0 as double) as x from part",

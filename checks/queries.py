@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import cellwise as cw
 from cellwise.model import DenseMatrix, Matrix, Shape, Vector
 from cellwise.operators import layout, profile
-from cellwise.operators.multiply import multiply, multiply_text
+from cellwise.operators.multiply import multiply, multiply_text, multiply_text_lenient
 from cellwise.plans import benchstats
 from cellwise.session import scratch_path
 from cellwise.sources import generate, text
@@ -196,6 +196,32 @@ def multiply_text_row(t: Tables) -> DataFrame:
     return _customer_text_times(t, cw.coo_from_table(cells, "i", "n_nationkey", "n_regionkey", Shape(1, t.size("nation")))).df
 
 
+def _lenient_parts(t: Tables) -> str:
+    """Part lines as text: a token that is no number, and an empty one that later tokens pass."""
+    path = scratch_path(t.spark, "lenient")
+    line = "concat_ws(',', string(p_size), 'x', string(p_partkey % 7), '', string(p_partkey % 3)) as value"
+    t.part.orderBy("p_partkey").selectExpr(line).write.text(path)
+    return path
+
+
+def _region_lines(t: Tables, line: str) -> str:
+    path = scratch_path(t.spark, "regions")
+    t.region.coalesce(1).orderBy("r_regionkey").selectExpr(f"{line} as value").write.text(path)
+    return path
+
+
+def multiply_text_lenient_vector(t: Tables) -> DataFrame:
+    """Lenient lines times a standing vector of five numbers, the third of them none."""
+    right = _region_lines(t, "case when r_regionkey = 2 then 'none' else string(r_regionkey + 1) end")
+    return multiply_text_lenient(t.spark, _lenient_parts(t), right, vector=True).df
+
+
+def multiply_text_lenient_matrix(t: Tables) -> DataFrame:
+    """Lenient lines times a matrix with more rows than they have columns, and a word in it."""
+    right = _region_lines(t, "concat_ws(',', string(r_regionkey + 1), 'word', string(r_regionkey * 2))")
+    return multiply_text_lenient(t.spark, _lenient_parts(t), right, vector=False).df
+
+
 def spmv_repeated_keys(t: Tables) -> DataFrame:
     """Against the quantity of each part, which the vector adds up over its lines."""
     x = cw.vector_from_table(t.lineitem, "l_partkey", "l_quantity", t.size("part"))
@@ -291,6 +317,21 @@ def vector_class(t: Tables) -> DataFrame:
     return profile.classify_vector_files(lines)
 
 
+def vector_files(t: Tables) -> DataFrame:
+    """Orders dealt out to real text files by customer modulo 40, beside an empty file."""
+    path = scratch_path(t.spark, "vectors")
+    lines = t.orders.where("o_custkey % 4 < 3").selectExpr(
+        "o_custkey % 40 as file",
+        """case when o_custkey % 4 = 0 then string(o_orderkey) when o_custkey % 4 = 1 then concat(o_orderkey, ',', o_custkey)
+                else concat(o_orderpriority, ',', o_orderkey) end as value""",
+    )
+    lines.repartition("file").write.partitionBy("file").text(path)
+    t.spark.createDataFrame([], "value string").coalesce(1).write.text(f"{path}/file=none")
+    # One folder a file in spirit: the parts of a folder are classified together.
+    name = F.regexp_extract("file", "file=([^/]*)", 1)
+    return profile.classify_text_files(t.spark, f"{path}/*/part-*").select(name.alias("file"), "lines", "kind")
+
+
 def result_cells(t: Tables) -> DataFrame:
     shapes = t.part.selectExpr("p_partkey", "p_partkey * 100 as a_rows", "p_size - 1 as b_cols")
     return profile.result_cells(shapes)
@@ -420,6 +461,27 @@ def event_log_rollup(t: Tables) -> DataFrame:
     return benchstats.event_log_rollup(lines)
 
 
+def event_log_runs(t: Tables) -> DataFrame:
+    """One log of all events, cut into runs that begin at every fortieth event and last an hour."""
+    amount = F.floor("value").cast("bigint")
+    time = F.expr(
+        "datediff(date(ts), date'1970-01-01') * 86400000L + hour(ts) * 3600000L + minute(ts) * 60000L"
+        " + cast(floor(extract(second from ts) * 1000) as bigint)"
+    )
+    task = F.struct(amount.alias("Executor Run Time"), (F.col("event_id") % 5).alias("JVM GC Time"), F.struct((amount * 3).alias("Bytes Read")).alias("Input Metrics"))
+    is_job = F.col("event_id") % 10 == 0
+    line = F.struct(
+        F.when(is_job, "SparkListenerJobStart").otherwise("SparkListenerTaskEnd").alias("Event"),
+        F.when(is_job, time).alias("Submission Time"),
+        F.when(~is_job, F.struct(time.alias("Finish Time"))).alias("Task Info"),
+        F.when(~is_job, task).alias("Task Metrics"),
+    )
+    log = F.lit("all").alias("label")
+    lines = t.events.select(log, F.to_json(line).alias("line"))
+    runs = t.events.where("event_id % 40 = 0").select(log, F.col("event_id").cast("string").alias("run"), time.alias("time_ms"), (time + 3_600_000).alias("end_ms"))
+    return benchstats.event_log_runs(lines, runs).select("label", "jobs", "tasks", "input_bytes", "gc_ms", "p50_ms", "max_ms")
+
+
 def gen_identity(t: Tables) -> DataFrame:
     return cw.spmv(generate.identity(t.spark, t.size("part")), t.sizes()).df
 
@@ -463,6 +525,12 @@ def gen_power_law(t: Tables) -> DataFrame:
     return _rounded(cw.spmv(a, t.balances()), 4)
 
 
+def gen_power_law_exact(t: Tables) -> DataFrame:
+    """Rows and draws of a power-law matrix with one draw for each order line."""
+    degrees = generate.power_law_degrees(t.spark, t.size("part"), t.size("lineitem"))
+    return generate.exact_degrees(degrees, t.size("lineitem")).agg(F.count("*").alias("n_rows"), F.sum("degree").alias("draws"))
+
+
 def gen_row_hotspot(t: Tables) -> DataFrame:
     a = generate.row_hotspot(t.spark, t.size("part"), t.size("supplier"), 0.01, 10)
     return _rounded(cw.spmv(a, t.balances()), 4)
@@ -478,16 +546,16 @@ def gen_sparse_vector(t: Tables) -> DataFrame:
 
 _ALL = [
     spmv, spmspv, kernel_only, spmm, spdm, multiply_dispatch, multiply_to_text, multiply_files,
-    multiply_text_sparse, multiply_text_dense, multiply_text_row, spmv_repeated_keys, power_residual,
+    multiply_text_sparse, multiply_text_dense, multiply_text_row, multiply_text_lenient_vector, multiply_text_lenient_matrix, spmv_repeated_keys, power_residual,
     power_iteration, power_iteration_laid_out, l1_norm, l1_distance,
     dense_rows, dense_segments, vector_line, preview, glance, checksum,
     coo_from_table, by_row, by_col,
-    sparsity, line_sparsity, matrix_sparsity, shape_profile, vector_class, result_cells,
+    sparsity, line_sparsity, matrix_sparsity, shape_profile, vector_class, vector_files, result_cells,
     numeric_lines, lenient_coo, grid_to_coo, normalize_text,
     read_lines, read_grid, read_dense, read_column_vector, read_row_vector,
-    nearest_rank, trial_stats, nearest_rank_null_keys, trial_stats_null_keys, merge_summaries, kernel_table, event_log_rollup,
+    nearest_rank, trial_stats, nearest_rank_null_keys, trial_stats_null_keys, merge_summaries, kernel_table, event_log_rollup, event_log_runs,
     gen_identity, gen_diagonal, gen_zero, gen_upper, gen_banded, gen_block_diagonal,
-    gen_uniform_draws, gen_uniform_rows, gen_power_law, gen_row_hotspot, gen_dense_vector, gen_sparse_vector,
+    gen_uniform_draws, gen_uniform_rows, gen_power_law, gen_power_law_exact, gen_row_hotspot, gen_dense_vector, gen_sparse_vector,
 ]
 
 
