@@ -105,7 +105,11 @@ def fit(bits: np.ndarray, names: list[str], seed: int = 3) -> Classifier:
     # Every language weighs the same, however many rows it has.
     count = {k: names.count(k) for k in known}
     weight = np.array([1 / count[n] for n in names])[:, None]
-    left = wide.T @ (wide * weight) + RIDGE * np.eye(wide.shape[1]) * len(known) / wide.shape[1]
+    # The norm of a function over the landmarks is that of their own kernel: this is kernel ridge
+    # regression in the span of the landmarks. A trace of the identity keeps equal landmarks solvable.
+    norm = np.eye(wide.shape[1]) * 1e-6
+    norm[:-1, :-1] += landmarks @ landmarks.T
+    left = wide.T @ (wide * weight) + RIDGE * norm * len(known) / wide.shape[1]
     return Classifier(known, landmarks, np.linalg.solve(left, wide.T @ (want * weight)).astype(np.float32))
 
 
@@ -115,15 +119,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, lang: str, doc_id: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> Classifier:
-    """A classifier fitted to about ``rows`` rows with text and language, chosen by a hash of the id.
+    """A classifier fitted to about ``rows`` rows with text and language, chosen by a hash of id and text.
 
     Whole texts are read where they lie. Only their presence bits, a fixed number a row, come to
     the driver, so what it holds is bounded however long the texts are.
     """
-    usable = docs.where(F.col(lang).isNotNull() & F.col(text).rlike("[A-Za-z\\u00C0-\\uFFFF]"))
+    usable = docs.where(F.col(lang).isNotNull() & F.col(text).rlike("\\p{L}"))
     n = usable.count()
     if n > rows:
-        usable = usable.where(F.pmod(F.xxhash64(F.col(doc_id), F.lit(29)), F.lit(1 << 20)) < int(rows / n * (1 << 20)))
+        usable = usable.where(F.pmod(F.xxhash64(F.col(doc_id), F.col(text), F.lit(29)), F.lit(1 << 62)) < (rows << 62) // n)
 
     def collect_bits(batches):
         for block in blocks.cut(batches, "t"):
