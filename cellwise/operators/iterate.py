@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellwise.functions.mixing import hashed
 from cellwise.model import Matrix, Vector, indices
+from cellwise.operators.exact import exact_sums
 from cellwise.operators.multiply import _row_sums, inner_counts, spmv
 from cellwise.session import durable, fits_broadcast, shuffle_partitions, sized
 
@@ -16,10 +17,13 @@ from cellwise.session import durable, fits_broadcast, shuffle_partitions, sized
 COLUMN_PIECE = 1 << 20
 
 
-def l1_norm(x: Vector) -> DataFrame:
-    """One row: the sum of absolute values, with 0 replaced by 1."""
-    total = F.coalesce(F.sum(F.abs("x")), F.lit(0.0))
-    return x.df.agg(F.when(total == 0, F.lit(1.0)).otherwise(total).alias("norm"))
+def l1_norm(x: Vector, exact: bool = False) -> DataFrame:
+    """One row: the sum of absolute values, with 0 replaced by 1; ``exact`` adds without rounding."""
+    sums = x.df.agg(F.sum(F.abs("x")).alias("total"))
+    if exact:
+        sums = exact_sums(x.df.select(F.abs("x").alias("x")), [], "x")
+    total = F.coalesce("total", F.lit(0.0))
+    return sums.select(F.when(total == 0, F.lit(1.0)).otherwise(total).alias("norm"))
 
 
 def l1_distance(a: Vector, b: Vector) -> DataFrame:

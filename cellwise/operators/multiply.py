@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from cellwise.functions.mixing import hashed
 from cellwise.model import DenseMatrix, Matrix, Shape, Vector, drop_zeros, indices
+from cellwise.operators.exact import exact_sums
 from cellwise.operators.profile import check_multiply, is_sparse, require_sparse_left
 from cellwise.session import BYTES_PER_CELL, fits_broadcast, shuffle_partitions, sized
 
@@ -52,23 +53,26 @@ def _sized(x: Vector) -> DataFrame:
     return x.df
 
 
-def _row_sums(products: DataFrame, rows: int, zero_fill: bool) -> DataFrame:
+def _row_sums(products: DataFrame, rows: int, zero_fill: bool, exact: bool = False) -> DataFrame:
     if zero_fill:
         zeros = indices(products.sparkSession, rows).withColumn("y", F.lit(0.0))
         products = products.unionByName(zeros)
+    if exact:
+        return exact_sums(products, ["i"], "y", "x").withColumnRenamed("i", "k")
     return products.groupBy("i").agg(F.sum("y").alias("y")).select(F.col("i").alias("k"), F.col("y").alias("x"))
 
 
-def spmv(a: Matrix, x: Vector, zero_fill: bool = True) -> Vector:
+def spmv(a: Matrix, x: Vector, zero_fill: bool = True, exact: bool = False) -> Vector:
     """y_i = sum over k of A_ik x_k, one entry per row of A.
 
-    With ``zero_fill=False`` only rows that met an entry of x appear.
+    With ``zero_fill=False`` only rows that met an entry of x appear. With ``exact=True`` the
+    products of a row are added up without rounding, so equal tables give equal bits.
     """
     check_multiply(a.shape, x.n)
     # Rows that exist only because repeated cells cancel would show without zero fill.
-    cells = a.summands if zero_fill else a.df
+    cells = a.summands if zero_fill and not exact else a.df
     products = cells.join(_sized(x), F.col("j") == F.col("k")).select("i", (F.col("v") * F.col("x")).alias("y"))
-    return Vector(_row_sums(products, a.shape.rows, zero_fill), a.shape.rows, dense=zero_fill)
+    return Vector(_row_sums(products, a.shape.rows, zero_fill, exact), a.shape.rows, dense=zero_fill)
 
 
 def spmspv(a: Matrix, x: Vector, zero_fill: bool = True) -> Vector:
