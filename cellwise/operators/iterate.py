@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from cellwise.functions.mixing import hashed
@@ -41,9 +42,54 @@ def l1_distance(a: Vector, b: Vector) -> DataFrame:
 
 @dataclass(frozen=True)
 class Iterated:
+    """``history`` is (step, norm, residual) of all steps, where a state folder keeps them."""
+
     vector: Vector
     residual: float
     steps: int
+    history: DataFrame | None = None
+
+
+class _State:
+    """The last two products y of an iteration, and a row of ``steps`` for each complete step.
+
+    Products take turns between two tables, so the one before is whole while the next is
+    written, and no older one is left. The row of a step is appended last and names the
+    table of its product: what has no row did not happen.
+    """
+
+    SCHEMA = "step int, norm double, residual double, place int, n bigint, alpha double"
+
+    def __init__(self, spark: SparkSession, folder: str, n: int, alpha: float):
+        self.spark, self.folder, self.n, self.alpha = spark, folder.rstrip("/"), n, alpha
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(self.SCHEMA).parquet(f"{self.folder}/steps")
+
+    def last(self) -> Row | None:
+        try:
+            last = self.rows().orderBy(F.desc("step")).first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        if last and (last.n, last.alpha) != (self.n, self.alpha):
+            raise ValueError(f"the state is of {last.n} entries and alpha {last.alpha}, not {self.n} and {self.alpha}")
+        return last
+
+    def read(self, place: int) -> DataFrame:
+        return self.spark.read.schema("k bigint, x double").parquet(f"{self.folder}/product-{place}")
+
+    def write(self, y: DataFrame, place: int) -> DataFrame:
+        y.write.mode("overwrite").parquet(f"{self.folder}/product-{place}")
+        return self.read(place)
+
+    def complete(self, step: int, norm: float, residual: float, place: int) -> None:
+        row = [(step, norm, residual, place, self.n, self.alpha)]
+        self.spark.createDataFrame(row, self.SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.folder}/steps")
+
+    def history(self) -> DataFrame:
+        return self.rows().select("step", "norm", "residual")
 
 
 class _ColumnLayout:
@@ -88,7 +134,12 @@ class _ColumnLayout:
 
 
 def power_iteration(
-    a: Matrix, steps: int = 20, alpha: float = 0.85, layout: bool | None = None, persist: bool = True
+    a: Matrix,
+    steps: int = 20,
+    alpha: float = 0.85,
+    layout: bool | None = None,
+    persist: bool = True,
+    state: str | None = None,
 ) -> Iterated:
     """v' = alpha * y / |y| + (1 - alpha) / N with y = A v, |y| the L1 norm or 1 if zero.
 
@@ -99,29 +150,52 @@ def power_iteration(
     The matrix is laid out by column once when the vector is too large to broadcast
     (``layout=None`` decides by its length). Otherwise its cells are kept for the rounds
     as they are; ``persist=False`` reads them anew each time, which suits a plain table.
+
+    ``state`` names a folder in shared storage that survives the driver too: it keeps the
+    last two products and the norm and residual of each step. A call with the folder of an
+    earlier one goes on after its last complete step, and runs nothing if that is ``steps``.
+    The caller vouches for the same matrix; size and alpha are compared. One run may use
+    a folder at a time. The vector of a result is read from there, so it is to be used before
+    a later call goes further.
     """
     if a.shape.rows != a.shape.cols:
         raise ValueError(f"power iteration needs a square matrix, not {a.shape}")
     n = a.shape.cols
     spark = a.df.sparkSession
+    kept_state = _State(spark, state, n, alpha) if state else None
+    last = kept_state.last() if kept_state else None
+    done = last.step if last else 0
+    if done > steps:
+        raise ValueError(f"the state has {done} steps, more than {steps}")
+
+    def damped(y: DataFrame, norm: float) -> Vector:
+        scaled = F.lit(alpha) * (F.col("x") / F.lit(norm)) + F.lit((1.0 - alpha) / n)
+        return Vector(y.select("k", scaled.alias("x")), n, dense=True)
+
+    if last:
+        v, residual = damped(kept_state.read(last.place), last.norm), last.residual
+    else:
+        v, residual = Vector(indices(spark, n, "k").withColumn("x", F.lit(1.0 / n)), n, dense=True), 0.0
     if layout is None:
         layout = not fits_broadcast(spark, n)
-    laid_out = _ColumnLayout(a) if layout else None
-    kept = a.df.persist() if persist and not layout else None
+    running = done < steps
+    laid_out = _ColumnLayout(a) if layout and running else None
+    kept = a.df.persist() if persist and running and not layout else None
     cells = a if kept is None else Matrix(kept, a.shape)
-    v = Vector(indices(spark, n, "k").withColumn("x", F.lit(1.0 / n)), n, dense=True)
-    residual = 0.0
     try:
-        for _ in range(steps):
-            y = Vector(durable(laid_out.times(v) if laid_out else spmv(cells, v).df), n, dense=True)
-            norm = l1_norm(y).first().norm
-            scaled = F.lit(alpha) * (F.col("x") / F.lit(norm)) + F.lit((1.0 - alpha) / n)
-            previous, v = v, Vector(y.df.select("k", scaled.alias("x")), n, dense=True)
-        if steps:
-            residual = l1_distance(v, previous).first().distance
+        for step in range(done + 1, steps + 1):
+            product = laid_out.times(v) if laid_out else spmv(cells, v).df
+            y = kept_state.write(product, step % 2) if kept_state else durable(product)
+            norm = l1_norm(Vector(y, n, dense=True)).first().norm
+            previous, v = v, damped(y, norm)
+            if kept_state or step == steps:
+                residual = l1_distance(v, previous).first().distance
+            if kept_state:
+                kept_state.complete(step, norm, residual, step % 2)
     finally:
         if laid_out:
             laid_out.release()
         if kept is not None:
             kept.unpersist()
-    return Iterated(v, residual, steps)
+    history = kept_state.history() if kept_state and steps else None
+    return Iterated(v, residual, steps, history)

@@ -45,7 +45,7 @@ def checksum_of(text: str) -> str:
       from ({text})"""
 
 
-def power_steps(steps: int, residual: bool = False) -> str:
+def power_steps(steps: int, residual: bool = False, history: bool = False) -> str:
     ctes = """e as (select s.l_partkey f, t.l_partkey t, count(*) w from lineitem s
         join lineitem t on s.l_orderkey = t.l_orderkey and t.l_linenumber = s.l_linenumber + 1 group by 1, 2),
       m as (select t i, e.f j, w / o.out v from e join (select f, sum(w) out from e group by f) o on e.f = o.f),
@@ -57,12 +57,49 @@ def power_steps(steps: int, residual: bool = False) -> str:
         left join (select m.i, sum(m.v * v.x) y from m join x{s - 1} v on m.j = v.k group by m.i) q on p.p_partkey = q.i),
       s{s} as (select case when sum(abs(y)) = 0 then 1.0 else sum(abs(y)) end s from y{s}),
       x{s} as (select k, 0.85 * y / s.s + (1 - 0.85) / n.n x from y{s}, s{s} s, n)"""
+    if history:
+        rounds = [
+            f"""select {s} as step, round((select s from s{s}), 9) as norm, round(sum(abs(a.x - b.x)), 9) as residual
+              from x{s} a join x{s - 1} b on a.k = b.k"""
+            for s in range(1, steps + 1)
+        ]
+        return f"with {ctes.replace(' as (select', ' as materialized (select')} {' union all '.join(rounds)}"
     if residual:
         return f"""with {ctes} select {steps} as steps, round(sum(abs(a.x - b.x)), 9) as residual
           from x{steps} a join x{steps - 1} b on a.k = b.k"""
     return f"with {ctes} select k, round(x, 9) as x from x{steps}"
 
 
+def exact_sum(x: str, scale: int) -> str:
+    """Sum of doubles that are whole multiples of 2^-scale: added as HUGEINT, then rounded once.
+
+    Sixty leading bits and one that says whether anything is below them; the cast to a double rounds these.
+    """
+    total = f"sum(({x} * pow(2.0::double, {scale}))::hugeint)"
+    low = f"pow(2.0::double, greatest(0, floor(log2(abs({total})::double)) - 60))"
+    lead = f"((abs({total}) // {low}::hugeint)::bigint | case when abs({total}) % {low}::hugeint <> 0 then 1 else 0 end)"
+    return f"""case when {total} = 0 then 0.0::double
+      else sign({total}) * {lead}::double * {low} * pow(2.0::double, {-scale}) end"""
+
+
+def total_table() -> str:
+    """The summary of events as timings; counts of events stand for run metrics."""
+    timed, counted = [], []
+    for engine, e, rest in (("RDD", "rdd", "event_id % 2 = 0"), ("DF", "df", "event_id % 2 <> 0")):
+        where = f"filter (where {rest})"
+        timed += [f'median(value) {where} as "{engine}_ms"', f'min(value) {where} as "{engine}_ms_min"',
+                  f'max(value) {where} as "{engine}_ms_max"', f'round(stddev_pop(value) {where}, 6) as "{engine}_ms_std"']
+        metrics = ["jobs", "stages", "tasks", "shuffle_read_bytes", "shuffle_write_bytes", "input_bytes", "output_bytes",
+                   "mem_spill_bytes", "disk_spill_bytes", "gc_ms", "p50_ms", "p90_ms", "p99_ms", "max_ms"]
+        counted += [f"count(*) filter (where {rest} and event_id % {p + 2} = 0) as {e}_{m}" for p, m in enumerate(metrics)]
+        counted += [f"cast(max(event_id) {where} as varchar) as {e}_hash"]
+    return f"""with c as (select event_type as name, max(event_id) as "A_rows", max(user_id) as "A_cols", max(user_id) as "B_rows",
+        1 as "B_cols", max(event_id) as cells, max(event_id) > 2000000 as preview_used from events group by 1),
+      t as (select event_type as name, case when user_id % 2 = 0 then 'baseline' else 'df_shuffle_200' end as ablation,
+        {", ".join(timed + counted)} from events group by 1, 2)
+      select t.*, c.* exclude (name) from t join c on t.name = c.name"""
+
+
 def text_rows(matrix: str, rows: str, row_key: str, cols: str, col_key: str, width: int, separator: str = ", ") -> str:
     """Dense text of a matrix whose row and column keys are the keys of two tables."""
     return f"""with m as ({matrix}),
@@ -260,6 +297,17 @@ def oracle_sql() -> dict[str, str]:
         "power_residual": power_steps(POWER_STEPS, residual=True),
         "power_iteration": power_steps(POWER_STEPS),
         "power_iteration_laid_out": power_steps(POWER_STEPS),
+        "power_history": power_steps(POWER_STEPS, history=True),
+        "spmv_exact": f"""with a as ({ORDER_PART}),
+            q as (select a.i, {exact_sum("(a.v * p_retailprice)", 60)} as y from a join part on a.j = p_partkey group by 1)
+          select o_orderkey as k, coalesce(y, 0.0) as x from orders left join q on o_orderkey = q.i""",
+        "exact_totals": f"select event_type, {exact_sum('value', 70)} as total from events group by 1",
+        "total_table": total_table(),
+        "read_sparse_column": """select row_number() over (order by p_partkey) - 1 as k,
+              case when p_partkey % 3 = 0 then 0 else p_retailprice end as x from part
+            where p_partkey % 7 <> 3 qualify p_partkey % 3 <> 0""",
+        "normalize_invisible": r"""select p_partkey, cast(0 as int) as pos,
+            regexp_replace(trim(p_name || p_type || ' ' || p_brand || cast(p_size as varchar)), '\s+', ',', 'g') as value from part""",
         "l1_norm": f"select sum(abs(x)) as norm from ({SIZES})",
         "l1_distance": "select sum(abs(p_size - floor(p_retailprice))) as distance from part",
         "dense_rows": """with m as (select user_id % 7 i, event_id % 5 j, cast(count(*) as double) v from events

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 import cellwise as cw
 from cellwise.model import DenseMatrix, Matrix, Shape, Vector
 from cellwise.operators import layout, profile
+from cellwise.operators.exact import exact_sums
 from cellwise.operators.multiply import multiply, multiply_text, multiply_text_lenient
 from cellwise.plans import benchstats
 from cellwise.session import scratch_path
@@ -241,6 +242,24 @@ def power_residual(t: Tables) -> DataFrame:
     return t.spark.range(1).select(F.lit(found.steps).alias("steps"), F.round(F.lit(found.residual), 9).alias("residual"))
 
 
+def power_history(t: Tables) -> DataFrame:
+    """Norm and residual of all steps: five in a first call, the others in one that goes on from its state."""
+    graph, state = t.part_graph(), scratch_path(t.spark, "power")
+    cw.power_iteration(graph, steps=5, state=state)
+    found = cw.power_iteration(graph, steps=POWER_STEPS, state=state)
+    return found.history.select("step", F.round("norm", 9).alias("norm"), F.round("residual", 9).alias("residual"))
+
+
+def spmv_exact(t: Tables) -> DataFrame:
+    """Orders times part prices, to the last bit."""
+    prices = cw.vector_from_table(t.part, "p_partkey", "p_retailprice", t.size("part"), dense=True, duplicates="none")
+    return cw.spmv(t.order_part(), prices, exact=True).df
+
+
+def exact_totals(t: Tables) -> DataFrame:
+    return exact_sums(t.events, ["event_type"], "value")
+
+
 def l1_norm(t: Tables) -> DataFrame:
     return cw.l1_norm(t.sizes())
 
@@ -356,6 +375,15 @@ def normalize_text(t: Tables) -> DataFrame:
     return text.normalize_text(padded, "p_partkey", "raw")
 
 
+def normalize_invisible(t: Tables) -> DataFrame:
+    """Every invisible character that is removed, between words, in words and at both ends."""
+    pasted = F.concat(
+        F.lit("\ufeff "), "p_name", F.lit("\u200b"), "p_type", F.lit("\u00a0 \u2060\t"), "p_brand",
+        F.lit("\u202a\u202b"), "p_size", F.lit(" \u202c\u202d\u202e\n\u00a0\n"),
+    )
+    return text.normalize_text(t.part.select("p_partkey", pasted.alias("raw")), "p_partkey", "raw")
+
+
 def read_lines(t: Tables) -> DataFrame:
     return text.read_lines(t.spark, t.written_lines("lines"))
 
@@ -380,6 +408,14 @@ def read_row_vector(t: Tables) -> DataFrame:
     return text.read_vector(t.spark, path, sparse=True).df
 
 
+def read_sparse_column(t: Tables) -> DataFrame:
+    """A strict column of numbers, zeros among them, and of lines that are none and do not count."""
+    path = scratch_path(t.spark, "sparse-column")
+    line = "case when p_partkey % 7 = 3 then p_brand when p_partkey % 3 = 0 then '0' else string(p_retailprice) end as value"
+    t.part.orderBy("p_partkey").selectExpr(line).write.text(path)
+    return text.read_vector(t.spark, path, orientation="column", mode="strict", sparse=True).df
+
+
 def nearest_rank(t: Tables) -> DataFrame:
     return benchstats.nearest_rank(t.events, ["event_type"], "value", {"p50": 0.5, "p90": 0.9, "p99": 0.99})
 
@@ -432,6 +468,36 @@ def kernel_table(t: Tables) -> DataFrame:
     return benchstats.kernel_table(trials)
 
 
+def total_table(t: Tables) -> DataFrame:
+    """Events as timings, with run metrics and case shapes counted from them as well."""
+    events = t.events.select(
+        F.col("event_type").alias("name"),
+        F.when(F.col("user_id") % 2 == 0, "baseline").otherwise("df_shuffle_200").alias("ablation"),
+        F.when(F.col("event_id") % 2 == 0, "rdd").otherwise("df").alias("engine"),
+        F.col("value").alias("ms"),
+        "event_id",
+        "user_id",
+    )
+    metrics = benchstats.TOTAL_COLUMNS[15:30]
+    runs = events.groupBy("name", "ablation", "engine").agg(
+        *[
+            F.count(F.when(F.col("event_id") % (p + 2) == 0, 1)).alias(c.removeprefix("rdd_"))
+            for p, c in enumerate(metrics[:-1])
+        ],
+        F.max("event_id").cast("string").alias("hash"),
+    )
+    cases = events.groupBy("name").agg(
+        F.max("event_id").alias("A_rows"),
+        F.max("user_id").alias("A_cols"),
+        F.max("user_id").alias("B_rows"),
+        F.lit(1).alias("B_cols"),
+        F.max("event_id").alias("cells"),
+        (F.max("event_id") > 2_000_000).alias("preview_used"),
+    )
+    table = benchstats.total_table(events, cases, runs)
+    return table.withColumns({c: F.round(c, 6) for c in ("RDD_ms_std", "DF_ms_std")})
+
+
 def event_log_rollup(t: Tables) -> DataFrame:
     """Each event as a line of a Spark event log: a finished task, or a job or stage event."""
     amount = F.floor("value").cast("bigint")
@@ -547,13 +613,13 @@ def gen_sparse_vector(t: Tables) -> DataFrame:
 _ALL = [
     spmv, spmspv, kernel_only, spmm, spdm, multiply_dispatch, multiply_to_text, multiply_files,
     multiply_text_sparse, multiply_text_dense, multiply_text_row, multiply_text_lenient_vector, multiply_text_lenient_matrix, spmv_repeated_keys, power_residual,
-    power_iteration, power_iteration_laid_out, l1_norm, l1_distance,
+    power_iteration, power_iteration_laid_out, power_history, spmv_exact, exact_totals, l1_norm, l1_distance,
     dense_rows, dense_segments, vector_line, preview, glance, checksum,
     coo_from_table, by_row, by_col,
     sparsity, line_sparsity, matrix_sparsity, shape_profile, vector_class, vector_files, result_cells,
-    numeric_lines, lenient_coo, grid_to_coo, normalize_text,
-    read_lines, read_grid, read_dense, read_column_vector, read_row_vector,
-    nearest_rank, trial_stats, nearest_rank_null_keys, trial_stats_null_keys, merge_summaries, kernel_table, event_log_rollup, event_log_runs,
+    numeric_lines, lenient_coo, grid_to_coo, normalize_text, normalize_invisible,
+    read_lines, read_grid, read_dense, read_column_vector, read_row_vector, read_sparse_column,
+    nearest_rank, trial_stats, nearest_rank_null_keys, trial_stats_null_keys, merge_summaries, kernel_table, total_table, event_log_rollup, event_log_runs,
     gen_identity, gen_diagonal, gen_zero, gen_upper, gen_banded, gen_block_diagonal,
     gen_uniform_draws, gen_uniform_rows, gen_power_law, gen_power_law_exact, gen_row_hotspot, gen_dense_vector, gen_sparse_vector,
 ]

@@ -67,3 +67,47 @@ def test_norm_and_distance(spark):
     assert cw.l1_distance(a, b).first().distance == 5
     with pytest.raises(ValueError):
         cw.l1_distance(a, vector(spark, [1]))
+
+
+@pytest.mark.parametrize("layout", [False, True])
+@pytest.mark.parametrize("broken", ["l1_norm", "l1_distance"])
+def test_goes_on_after_the_last_complete_step(spark, tmp_path, monkeypatch, layout, broken):
+    matrix, folder = sparse(spark, C), str(tmp_path / "state")
+    whole = cw.power_iteration(matrix, steps=6, layout=layout, state=str(tmp_path / "whole"))
+    calls, real = [], getattr(iterate, broken)
+
+    def failing(*args):
+        calls.append(1)
+        if len(calls) == 4:
+            raise RuntimeError("lost")
+        return real(*args)
+
+    monkeypatch.setattr(iterate, broken, failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        cw.power_iteration(matrix, steps=6, layout=layout, state=folder)
+    assert [r.step for r in spark.read.parquet(f"{folder}/steps").orderBy("step").collect()] == [1, 2, 3]
+    resumed = cw.power_iteration(matrix, steps=6, layout=layout, state=folder)
+    # Three steps before the loss, the lost one, and three after it.
+    assert len(calls) == 7
+    assert np.allclose(values(resumed.vector), values(whole.vector), atol=1e-15)
+    rows = [tuple(r) for r in resumed.history.orderBy("step").collect()]
+    wanted = [tuple(r) for r in whole.history.orderBy("step").collect()]
+    assert [r[0] for r in rows] == [1, 2, 3, 4, 5, 6]
+    assert np.allclose(rows, wanted, atol=1e-15) and resumed.residual == rows[-1][2]
+    # Two products are left, whatever the number of steps.
+    assert sorted(p.name for p in (tmp_path / "state").iterdir()) == ["product-0", "product-1", "steps"]
+    again = cw.power_iteration(matrix, steps=6, layout=layout, state=folder)
+    assert len(calls) == 7 and again.residual == resumed.residual
+    assert np.allclose(values(again.vector), values(whole.vector), atol=1e-15)
+    assert cw.power_iteration(matrix, steps=4).residual == pytest.approx(rows[3][2], abs=1e-12)
+
+
+def test_state_of_another_iteration_is_refused(spark, tmp_path):
+    folder = str(tmp_path / "state")
+    cw.power_iteration(sparse(spark, C), steps=2, state=folder)
+    with pytest.raises(ValueError, match="alpha"):
+        cw.power_iteration(sparse(spark, C), steps=3, alpha=0.5, state=folder)
+    with pytest.raises(ValueError, match="entries"):
+        cw.power_iteration(sparse(spark, G), steps=3, state=folder)
+    with pytest.raises(ValueError, match="more than 1"):
+        cw.power_iteration(sparse(spark, C), steps=1, state=folder)
