@@ -60,3 +60,39 @@ def test_language_of_letters_beyond_the_basic_plane(spark):
     rows += [(500, "× ÷ 12", "got")]
     found = {r["doc_id"]: r["lang_pred"] for r in language.language(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
     assert found[500] == "und" and np.mean([found[i] == k for i, _, k in rows[:120]]) > 0.95
+
+
+def test_calibration_mends_margins_that_are_too_bold():
+    rng = np.random.default_rng(9)
+    margins = rng.normal(0, 2, 4000)
+    labels = (rng.random(4000) < 1 / (1 + np.exp(-(0.5 * margins - 1)))).astype(float)
+    slope, offset = toxicity.calibration(margins, labels)
+    assert abs(slope - 0.5) < 0.06 and abs(offset + 1) < 0.12
+    assert toxicity.calibration(np.zeros(0), np.zeros(0)) == (1.0, 0.0)
+
+
+def test_few_labels_are_enough_for_plain_insults():
+    """Three hundred rows of several hundred terms, an eighth of them with one of ten marked words."""
+    rng = np.random.default_rng(3)
+
+    def rows(n):
+        labels = (rng.random(n) < 0.125).astype(float)
+        own = [np.unique(np.concatenate([rng.zipf(1.3, 250) % 20_000 + 10, rng.integers(0, 10, 3) if y else []])).astype(np.int32) for y in labels]
+        return np.concatenate(own), np.concatenate([[0], np.cumsum([len(o) for o in own])]), labels
+
+    model = toxicity.fit(*rows(300))
+    terms, first, labels = rows(600)
+    said = model.scores(terms, first) >= toxicity.THRESHOLD
+    assert said[labels == 1].mean() > 0.8 and said[labels == 0].mean() < 0.03
+
+
+def test_toxicity_of_text_ids_repeats_and_long_texts(spark):
+    """Ids of any type; repeated rows score alike; a long text is read to its end."""
+    rows = [(f"d{i}", ("fine words here " * (20_000 if i == 40 else 3)) + ("zorkish" if i % 2 else "")) for i in range(200)]
+    rows += [rows[3], rows[3], (None, None)]
+    docs = spark.createDataFrame([(a, b, 1) for a, b in rows], "doc_id string, text string, score int")
+    labels = spark.createDataFrame([(f"d{i}", i % 2) for i in range(200)] * 2, "doc_id string, toxic int")
+    found = [r for r in toxicity.toxicity(docs, labels).collect()]
+    assert len(found) == len(rows) and len({r["score"] for r in found if r["doc_id"] == "d3"}) == 1
+    assert all(r["predicted"] == int(r["doc_id"][1:]) % 2 for r in found if r["doc_id"] and r["doc_id"] != "d40")
+    assert toxicity.accepted(docs, labels).columns == ["doc_id", "text", "score"]
