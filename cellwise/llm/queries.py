@@ -72,38 +72,46 @@ select lang, source, part, item, cast(value as bigint) as value, cast(rank as in
 
 
 def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector with its links and component; rows that share a vec_id are one vertex, an empty table gives no row."""
     return embedding.near_duplicates(table(spark, folder, "embeddings"))
 
 
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document scored, null and empty texts too; repeated ids row by row, without labels all scores are one half."""
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 def op3_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without its repeated windows of 20 words; null texts have no words, rows that share an id do not remove from one another."""
     found = passages.remove_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's language; null texts and texts without a letter are ``und``, repeated ids are predicted row by row."""
     return language.language(table(spark, folder, "documents"))
 
 
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's fingerprint and component; null and empty texts have fingerprint zero and are linked like any other."""
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without its repeated strings of 50 bytes; null texts are empty, rows that share an id do not remove from one another."""
     found = substrings.remove_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's spans; null and empty texts have none, repeated ids are scanned row by row."""
     found = secrets.find_secrets(table(spark, folder, "documents"))
     return found.withColumn("spans", secrets.spans_text())
 
 
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document and its place; null and empty texts are one piece that holds the end id."""
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
@@ -119,6 +127,7 @@ def op9_fixity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document against every item; null and empty texts and items match nothing, an empty table on either side finds nothing."""
     return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 

@@ -168,8 +168,7 @@ def _descend(terms: np.ndarray, first: np.ndarray, labels: np.ndarray, seed: int
             moved = w[touched] - step * slope
             w[touched] = np.sign(moved) * np.maximum(np.abs(moved) - step * l1, 0)
             each = (error / full)[rows, None] * (total[rows] - near)
-            slope_v = np.stack([np.bincount(group, each[:, f], len(touched)) for f in range(FACTORS)], 1)
-            slope_v += l2 * v[touched]
+            slope_v = np.stack([np.bincount(group, each[:, f], len(touched)) for f in range(FACTORS)], 1) + l2 * v[touched]
             seen_v[touched] += slope_v**2
             v[touched] -= rate * 0.3 * slope_v / np.sqrt(seen_v[touched])
     weights[known], factors[known] = w, v
