@@ -4,7 +4,8 @@ from helpers import grid, values
 from pyspark.sql import functions as F
 
 import cellwise as cw
-from cellwise.functions.mixing import gaussian, permutation_keys, permuted, uniform
+from cellwise.functions.mixing import gaussian, permutation_keys, permuted, permuted_rows, uniform
+from cellwise.functions.text import two_decimals
 from cellwise.plans import suite
 from cellwise.sources import generate as g
 
@@ -74,6 +75,30 @@ def test_random_draws(spark):
     assert abs(vs.std() - 10) < 1 and np.allclose(vs, vs.round(2))
 
 
+def test_rows_are_compiled_and_dealt_by_cells(spark, monkeypatch):
+    """No fold over an array for each cell, and no task makes more cells for a larger matrix."""
+    monkeypatch.setattr(g, "_TASK_CELLS", 500)
+    for m in (g.uniform_rows(spark, 200, 300, 0.1), g.row_hotspot(spark, 200, 300, 0.1, 3)):
+        assert "aggregate(" not in m.df._jdf.queryExecution().executedPlan().toString().split("Generate explode")[0]
+        per_task = m.df.groupBy(F.spark_partition_id()).count().collect()
+        assert len(per_task) >= 12 and max(r["count"] for r in per_task) < 1500
+
+
+def test_rows_follow_their_permutation(spark):
+    """The columns of a row are where ``permuted`` puts its first slots."""
+    slots = spark.range(20).select(F.col("id").alias("i"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(29).cast("bigint"))).alias("s"))
+    wanted = slots.select("i", permuted(F.col("s"), permutation_keys(F.col("i"), 7), 101).alias("j"))
+    made = permuted_rows(spark.range(20).select(F.col("id").alias("i")), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(29).cast("bigint"))), "i", 7, 101, "j")
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_two_decimals_are_those_of_round(spark):
+    xs = [0.0, -0.001, 0.005, -0.005, 1.005, 2.675, -2.675, 12.345, 1e8 + 0.125, 1e15, -1e300, 0.0049999999, float("nan"), float("inf"), None]
+    xs += [i / 1000 for i in range(-3000, 3000, 7)]
+    rows = spark.createDataFrame([(x,) for x in xs], "x double").select(two_decimals(F.col("x")).alias("a"), F.round("x", 2).alias("b")).collect()
+    assert [repr(r.a) for r in rows] == [repr(r.b) for r in rows]
+
+
 def test_blocks(spark):
     m = g.block_diagonal(spark, 105, 120, 10, 0.5)
     found = cells(m)
