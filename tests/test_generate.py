@@ -4,7 +4,7 @@ from helpers import grid, values
 from pyspark.sql import functions as F
 
 import cellwise as cw
-from cellwise.functions.mixing import gaussian, permutation_keys, permuted, permuted_rows, uniform
+from cellwise.functions.mixing import gaussian, hashed, permutation_keys, permuted, permuted_rows, uniform
 from cellwise.functions.text import two_decimals
 from cellwise.plans import suite
 from cellwise.sources import generate as g
@@ -75,6 +75,23 @@ def test_random_draws(spark):
     assert abs(vs.std() - 10) < 1 and np.allclose(vs, vs.round(2))
 
 
+def test_draws_are_sent_in_blocks(spark, monkeypatch):
+    """Each distinct position once, whatever the blocks, and no shuffle of single draws."""
+    seed, rows, cols, n = 42, 90, 70, 3150
+    ids = spark.range(n).select(F.pmod(hashed(F.col("id"), seed, 1), F.lit(rows)), F.pmod(hashed(F.col("id"), seed, 2), F.lit(cols)))
+    wanted = {tuple(r) for r in ids.collect()}
+    for limit in (1 << 23, 100):
+        monkeypatch.setattr(g, "_TASK_CELLS", limit)
+        m = g.uniform_draws(spark, rows, cols, 0.5)
+        found = {tuple(c) for c in cells(m).tolist()}
+        # A value may round to zero.
+        assert found <= wanted and len(found) > 0.98 * len(wanted)
+        shuffled = [line for line in m.df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line]
+        assert shuffled and all("(block#" in line for line in shuffled)
+    assert g.uniform_draws(spark, 1 << 40, 1 << 40, 100 / (1 << 80)).df.count() > 90
+    assert g.uniform_draws(spark, 1 << 30, 1 << 30, 100 / (1 << 60)).df.count() > 90
+
+
 def test_rows_are_compiled_and_dealt_by_cells(spark, monkeypatch):
     """No fold over an array for each cell, and no task makes more cells for a larger matrix."""
     monkeypatch.setattr(g, "_TASK_CELLS", 500)
