@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -33,6 +34,25 @@ def test_segments_join_to_the_line(spark, width):
     assert len(rows) == 5 * -(-5 // width)
 
 
+@pytest.mark.parametrize("block", [1, 4, 1 << 18])
+def test_empty_segments_are_not_shuffled(spark, monkeypatch, block):
+    """One marker a block of segments goes out, whatever the number of segments."""
+    monkeypatch.setattr(layout, "BLOCK_CELLS", block)
+    monkeypatch.setattr(layout, "TASK_SEGMENTS", 64 if block == 4 else 1 << 18)
+    m = Matrix(spark.createDataFrame([(0, 3, 1.5), (0, 41, 2.0), (2, 0, 3.0), (2, 3, 4.0)], "i bigint, j bigint, v double"), Shape(4, 101))
+    lines = cw.dense_rows(m, 2)
+    found = {}
+    for r in lines.orderBy("i", "seg").collect():
+        found.setdefault(r.i, []).append(r.line)
+    assert [len(found[i]) for i in range(4)] == [51] * 4
+    full = np.zeros((4, 101))
+    full[0, 3], full[0, 41], full[2, 0], full[2, 3] = 1.5, 2, 3, 4
+    assert [", ".join(found[i]) for i in range(4)] == as_text(full)
+    assert len(re.findall(r"Range \(0, (\d+)", lines._jdf.queryExecution().analyzed().toString())) == 1
+    markers = int(re.findall(r"Range \(0, (\d+)", lines._jdf.queryExecution().analyzed().toString())[0])
+    assert markers == 4 * -(-51 // max(1, block // 2))
+
+
 def test_cells_outside_the_shape_are_left_out(spark):
     m = Matrix(sparse(spark, C).df, Shape(2, 3))
     assert [r.line for r in cw.dense_rows(m).orderBy("i").collect()] == ["4.0, 1.0, 9.0", "0.0, 7.0, 0.0"]
