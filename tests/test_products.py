@@ -252,6 +252,19 @@ def test_segments_add_up_repeated_cells_and_cut_long_rows(spark, setting):
     assert np.array_equal(grid(Matrix(mul._segment_product(a, b, profile), Shape(60, 60))), dense_a @ dense_a.T)
 
 
+def test_tasks_of_a_product_follow_its_products(spark, setting, monkeypatch):
+    """More products make more tasks, not larger sums that spill."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(mul, "TASK_PRODUCTS", 1000)
+    a = generate.uniform_rows(spark, 400, 90, 0.06)
+    b = generate.uniform_rows(spark, 90, 70, 0.4, seed=3)
+    profile = mul.inner_profile(a, b)
+    product = mul._segment_product(a, b, profile)
+    assert profile.products > 40_000
+    assert product.rdd.getNumPartitions() == -(-profile.products // 1000)
+    assert np.allclose(grid(Matrix(product, Shape(400, 70))), grid(a) @ grid(b))
+
+
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
 def test_dense_panels_bring_no_product_into_a_shuffle(spark, setting, monkeypatch, threshold):
     setting("spark.sql.autoBroadcastJoinThreshold", threshold)
