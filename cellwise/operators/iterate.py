@@ -12,11 +12,14 @@ from cellwise.functions.mixing import hashed
 from cellwise.model import Matrix, Vector, indices
 from cellwise.operators.exact import exact_sums
 from cellwise.operators.multiply import _row_sums, inner_counts, spmv
-from cellwise.session import durable, fits_broadcast, shuffle_partitions, sized
+from cellwise.session import BYTES_PER_CELL, broadcast_bytes, durable, fits_broadcast, shuffle_partitions, sized
 
 # Cells of one column kept together when a matrix is laid out for repeated use.
 COLUMN_PIECE = 1 << 20
 
+# Cells that one partition of such a layout holds, about.
+PARTITION_CELLS = 1 << 23
+
 
 def l1_norm(x: Vector, exact: bool = False) -> DataFrame:
     """One row: the sum of absolute values, with 0 replaced by 1; ``exact`` adds without rounding."""
@@ -101,11 +104,17 @@ class _ColumnLayout:
     and no partition holds more of a hot column than one piece.
     """
 
-    def __init__(self, a: Matrix):
+    def __init__(self, a: Matrix, persist: bool = True):
         self.shape = a.shape
-        spark = a.df.sparkSession
-        self.parts = shuffle_partitions(spark)
+        # Counted and laid out: what is costly to derive is derived once.
+        self.source = a.df.persist() if persist else None
+        columns = inner_counts(a.df, "j", "a").agg(
+            F.sum("a").alias("cells"), F.count(F.when(F.col("a") > COLUMN_PIECE, 1)).alias("heavy")
+        ).first()
+        self.parts = self._partitions(a, columns.cells or 0)
         counts = inner_counts(a.df, "j", "a").where(F.col("a") > COLUMN_PIECE)
+        if not columns.heavy:
+            counts = counts.limit(0)
         self.heavy, self.heavy_columns = sized(
             counts.select("k", F.ceil(F.col("a") / F.lit(COLUMN_PIECE)).cast("bigint").alias("p_n"))
         )
@@ -113,6 +122,19 @@ class _ColumnLayout:
         cells = self._with_pieces(a.df.withColumnRenamed("j", "k")).select("i", "k", piece.alias("p"), "v")
         self.cells = cells.repartition(self.parts, "k", "p").persist()
 
+    @staticmethod
+    def _partitions(a: Matrix, cells: int) -> int:
+        """As few partitions as keep all cores busy and the work of one bounded.
+
+        A step shuffles one sum for each row that a partition has cells of. The fewer the
+        partitions, the more products are added up before they move.
+        """
+        spark = a.df.sparkSession
+        most = shuffle_partitions(spark)
+        table = broadcast_bytes(spark) // BYTES_PER_CELL
+        entries = -(-a.shape.cols // table) if table else most
+        return max(min(most, max(spark.sparkContext.defaultParallelism, entries)), -(-cells // PARTITION_CELLS))
+
     def _with_pieces(self, df: DataFrame) -> DataFrame:
         """Add p_n, the pieces of a heavy column k; NULL for one left whole."""
         if not self.heavy_columns:
@@ -131,6 +153,8 @@ class _ColumnLayout:
 
     def release(self) -> None:
         self.cells.unpersist()
+        if self.source is not None:
+            self.source.unpersist()
 
 
 def power_iteration(
@@ -179,7 +203,7 @@ def power_iteration(
     if layout is None:
         layout = not fits_broadcast(spark, n)
     running = done < steps
-    laid_out = _ColumnLayout(a) if layout and running else None
+    laid_out = _ColumnLayout(a, persist) if layout and running else None
     kept = a.df.persist() if persist and running and not layout else None
     cells = a if kept is None else Matrix(kept, a.shape)
     try:

@@ -46,6 +46,28 @@ def test_hot_column_is_cut_in_the_layout(spark, monkeypatch):
     laid_out.release()
 
 
+def test_a_layout_has_few_partitions_and_reads_its_matrix_once(spark, setting, monkeypatch):
+    """Sums of rows combine in few partitions; more cells still make more of them."""
+    setting("spark.sql.shuffle.partitions", "37")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    m = generate.uniform_rows(spark, 60, 60, 0.2)
+    once = cw.Matrix(m.df.mapInArrow(counted, "i bigint, j bigint, v double"), m.shape)
+    laid_out = iterate._ColumnLayout(once)
+    assert laid_out.parts == spark.sparkContext.defaultParallelism
+    y = laid_out.times(generate.dense_vector(spark, 60))
+    assert np.allclose([r.x for r in y.orderBy("k").collect()], grid(m) @ values(generate.dense_vector(spark, 60)))
+    assert read.value == m.df.count()
+    laid_out.release()
+    monkeypatch.setattr(iterate, "PARTITION_CELLS", 10)
+    assert iterate._ColumnLayout._partitions(m, 1000) == 100
+
+
 def test_layout_moves_only_vectors(spark, setting):
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     a = generate.uniform_rows(spark, 50, 50, 0.1)
