@@ -87,7 +87,7 @@ def test_draws_are_sent_in_blocks(spark, monkeypatch):
         # A value may round to zero.
         assert found <= wanted and len(found) > 0.98 * len(wanted)
         shuffled = [line for line in m.df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line]
-        assert shuffled and all("(block#" in line for line in shuffled)
+        assert shuffled and all("REPARTITION_BY_NUM" in line for line in shuffled)
     assert g.uniform_draws(spark, 1 << 40, 1 << 40, 100 / (1 << 80)).df.count() > 90
     assert g.uniform_draws(spark, 1 << 30, 1 << 30, 100 / (1 << 60)).df.count() > 90
 
