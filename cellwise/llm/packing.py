@@ -31,13 +31,13 @@ from .spread import durable
 WORD_END = "</w>"
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 300_000
+# Words that each of the two parts of a task's cache holds.
+CACHE_WORDS = 200_000
 RANK_ROWS = 20_000
 
-# A full stop or comma that ends a word is a piece of its own to the tokenizer.
-# The sign comes first in the pattern: it is what the search skips to.
-_STOP = re.compile(rb"([.,])(?<=[a-z0-9].)(?=[\x09-\x0d\x20]|$)")
-
+# A full stop or comma that ends a word is a piece of its own to the tokenizer, if one of these is before it.
+_STOP = np.isin(np.arange(256), np.frombuffer(b".,", np.uint8))
+_BEFORE_STOP = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8))
 
 _LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 # The byte-level alphabet: bytes that are not printable in Latin-1 are the characters from 256 on.
@@ -64,28 +64,52 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[n for token, n in vocabulary.items() if token.endswith(WORD_END)]] = True
+        # Words met lately, and those met before; what is met again moves to the first.
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        words = []
-        for text in texts:
-            # The strings of special tokens are matched before lower-casing.
-            if b"<|" not in text:
-                text = _STOP.sub(rb" \1", text.lower())
-            words.append(text.split())
-        distinct = set().union(*words)
+        # The strings of special tokens are matched before lower-casing.
+        as_is = np.array([b"<|" in text for text in texts], bool)
+        raw = b"".join(text if own else text.lower() for text, own in zip(texts, as_is.tolist(), strict=True))
+        offsets = np.append(0, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts))))
+        data = np.frombuffer(raw, np.uint8)
+        column, first = _words(data, offsets, as_is)
+        coded = column.dictionary_encode()
+        found = self._ids(coded.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        word = coded.indices.to_numpy()
+        size = lengths[word]
+        ends = np.append(0, np.cumsum(size))
+        # Where the ids of each word are in ``flat``, from where they go.
+        shift = (np.cumsum(lengths) - lengths)[word] - ends[:-1]
+        ids = flat[np.arange(ends[-1]) + np.repeat(shift, size)].tobytes()
+        bounds = (ends[first] * 4).tolist()
+        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words; what is not known is learned."""
         if len(self.known) > CACHE_WORDS:
-            # Words of this block are likely in the next ones too.
-            self.known = {w: self.known[w] for w in distinct if w in self.known}
-        new = list(distinct.difference(self.known))
+            self.known, self.older = {}, self.known
+        found = [*map(self.known.get, words)]
+        missing = [n for n, ids in enumerate(found) if ids is None]
+        new = []
+        for n in missing:
+            word = words[n]
+            if word in self.older:
+                self.known[word] = self.older[word]
+            else:
+                new.append(word)
         for at in range(0, len(new), 10_000):
             part = new[at : at + 10_000]
             plain = [_letters(w) for w in part]
             self._learn_letters([w for w, p in zip(part, plain, strict=True) if p], [p for p in plain if p])
             self._learn_others([w for w, p in zip(part, plain, strict=True) if not p])
-        get = self.known.__getitem__
-        return [b"".join(map(get, own)) for own in words]
+        for n in missing:
+            found[n] = self.known[words[n]]
+        return found
 
     def _learn_letters(self, words: list[bytes], texts: list[str]) -> None:
         """Many words in one call; their ids are cut after the last piece of each."""
@@ -107,6 +131,23 @@ class Encoder:
             self.known[word] = array("I", ids.ids).tobytes()
 
 
+def _words(data: np.ndarray, offsets: np.ndarray, as_is: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(words, first): the words of each text, stops apart but in texts that are ``as_is``; text r has first[r] to first[r + 1]."""
+    starts, ends, first = blocks.words(data, offsets, ~blocks.SPACE)
+    last = np.maximum(ends - 1, 0)
+    stop = _STOP[data[last]] & (ends - starts > 1) & _BEFORE_STOP[data[np.maximum(last - 1, 0)]]
+    stop &= ~np.repeat(as_is, np.diff(first))
+    # Words with a stop count twice; each piece ends where the next one begins once white space is gone.
+    after = np.append(0, np.cumsum(1 + stop))
+    sizes = np.repeat(ends - starts, 1 + stop)
+    own = after[1:][stop] - 1
+    sizes[own] = 1
+    sizes[own - 1] -= 1
+    cuts = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    column = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(cuts), pa.py_buffer(data[~blocks.SPACE[data]])])
+    return column, after[first]
+
+
 def _letters(word: bytes) -> str | None:
     """A lower-case word of ASCII or Latin-1 letters in the byte alphabet of the merges, else None."""
     if word.isalpha() and word.islower():
