@@ -32,16 +32,32 @@ SEED = 42
 SAMPLE = 2048
 
 
-def fingerprint(text: bytes) -> tuple[list[int], int]:
-    """Hashes of the shingles of a lower-cased text, and their number."""
+def fingerprint(text: bytes, size: int = WORDS) -> list[int]:
+    """Hashes of the shingles of ``size`` words of a lower-cased text."""
     words = text.split()
     joined = b" ".join(words)
-    if len(words) <= WORDS:
+    if len(words) <= size:
         return [xxhash.xxh64_intdigest(joined, SEED)] if words else []
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     digest = xxhash.xxh64_intdigest
-    return [digest(joined[s:e], SEED) for s, e in zip(starts[: 1 - WORDS].tolist(), ends[WORDS - 1 :].tolist(), strict=True)]
+    return [digest(joined[s:e], SEED) for s, e in zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist(), strict=True)]
+
+
+def prints_of(column, size: int = WORDS) -> np.ndarray:
+    """The fingerprint of each text of a block, as a signed 64-bit number."""
+    data, offsets = blocks.text_bytes(column)
+    raw = data.tobytes().lower()
+    hashes = [fingerprint(raw[a:b], size) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+    counts = np.fromiter(map(len, hashes), np.int64, len(hashes))
+    flat = np.fromiter((h for own in hashes for h in own), np.uint64, counts.sum())
+    found = np.zeros(len(hashes), np.uint64)
+    full = np.flatnonzero(counts)
+    if len(full):
+        bits = np.unpackbits(flat.view(np.uint8), bitorder="little").reshape(-1, BITS)
+        sums = np.add.reduceat(bits, np.concatenate([[0], np.cumsum(counts[full])[:-1]]), axis=0, dtype=np.int64)
+        found[full] = np.packbits(sums * 2 > counts[full, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
+    return found.view(np.int64)
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -50,18 +66,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     def work(batches):
         for batch in blocks.cut(batches, "t", 1 << 20):
-            data, offsets = blocks.text_bytes(batch.column("t"))
-            raw = data.tobytes().lower()
-            hashes = [fingerprint(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            counts = np.fromiter(map(len, hashes), np.int64, len(hashes))
-            flat = np.fromiter((h for own in hashes for h in own), np.uint64, counts.sum())
-            found = np.zeros(len(hashes), np.uint64)
-            full = np.flatnonzero(counts)
-            if len(full):
-                bits = np.unpackbits(flat.view(np.uint8), bitorder="little").reshape(-1, BITS)
-                sums = np.add.reduceat(bits, np.concatenate([[0], np.cumsum(counts[full])[:-1]]), axis=0, dtype=np.int64)
-                found[full] = np.packbits(sums * 2 > counts[full, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
-            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(found.view(np.int64))], ["k", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(prints_of(batch.column("t")))], ["k", "fp"])
 
     rows = docs.select(F.col(doc_id).alias("k"), F.col(text).alias("t"))
     return rows.mapInArrow(work, f"k {kind}, fp bigint").withColumnRenamed("k", doc_id)
@@ -213,6 +218,14 @@ def _close(fp: np.ndarray, indexed: np.ndarray, side: np.ndarray | None, radius:
     return (np.concatenate(found[0]), np.concatenate(found[1])) if found[0] else (np.zeros(0, int), np.zeros(0, int))
 
 
+def linked(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Links (a, b) that join the distinct fingerprints (fp) as all pairs within ``radius`` bits do, by the cheapest partitions."""
+    n = distinct.count()
+    sample = distinct.orderBy(F.xxhash64("fp", F.lit(5))).limit(SAMPLE).select("fp").toArrow().column("fp").to_numpy()
+    partitions = plan(chained(correlations(distinct.select("fp"))), sample.view(np.uint64), n, radius) if n > 1 else []
+    return links(distinct.select("fp"), partitions, radius)
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id) of every row.
 
@@ -222,14 +235,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     marked = durable(fingerprints(docs.select(F.col(doc_id).alias("k"), F.col(text).alias("t")), "k", "t"))
     distinct = durable(marked.groupBy("fp").agg(F.min("k").alias("least")))
-    n = distinct.count()
-    sample = distinct.orderBy(F.xxhash64("fp", F.lit(5))).limit(SAMPLE).select("fp").toArrow().column("fp").to_numpy()
-    partitions = plan(chained(correlations(distinct.select("fp"))), sample.view(np.uint64), n, radius) if n > 1 else []
-    if not partitions:
-        named = distinct.select("fp", F.col("least").alias("component_id"))
-    else:
-        reached = graph.components(links(distinct.select("fp"), partitions, radius))
-        grouped = distinct.join(reached, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))
-        smallest = grouped.groupBy("c").agg(F.min("least").alias("component_id"))
-        named = grouped.join(smallest, "c").select("fp", "component_id")
+    reached = graph.components(linked(distinct, radius))
+    grouped = distinct.join(reached, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))
+    smallest = grouped.groupBy("c").agg(F.min("least").alias("component_id"))
+    named = grouped.join(smallest, "c").select("fp", "component_id")
     return marked.join(named, "fp").select(F.col("k").alias(doc_id), "fp", "component_id")
