@@ -37,6 +37,9 @@ MIN_WORDS = 20
 PERCENT = 25
 SEED = 7
 
+# Bytes of text that a task takes apart at a time; a word is an object and some sixty bytes of numbers.
+BLOCK = 1 << 18
+
 # Rows a segment should hold, the most segments, and the most sampled keys for the driver.
 SEGMENT_ROWS = 250_000
 SEGMENTS = 1024
@@ -75,21 +78,26 @@ def joined_crc(first: np.ndarray, second: np.ndarray, length: np.ndarray) -> np.
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(buckets, features, words): buckets of all features, and the counts of each text."""
+    """(words, pairs, counts): buckets of all words and of all pairs, and the number of words of each text."""
     words = [text.translate(_FOLD).split() for text in texts]
     count = np.array([len(w) for w in words], np.int64)
-    flat = [word for own in words for word in own]
-    crc = np.fromiter(map(zlib.crc32, flat), np.uint32, len(flat))
-    length = np.fromiter(map(len, flat), np.int64, len(flat))
-    follows = np.ones(len(flat), bool)
+    total = int(count.sum())
+    crc = np.fromiter((zlib.crc32(word) for own in words for word in own), np.uint32, total)
+    length = np.fromiter((len(word) for own in words for word in own), np.uint32, total)
+    del words
+    follows = np.ones(total, bool)
     follows[(np.cumsum(count) - count)[count > 0]] = False
-    second = np.flatnonzero(follows)
-    space = joined_crc(crc[second - 1], np.full(len(second), zlib.crc32(b" "), np.uint32), np.ones(len(second), np.int64))
+    second = np.flatnonzero(follows).astype(np.int32)
+    space = joined_crc(crc[second - 1], np.full(len(second), zlib.crc32(b" "), np.uint32), np.ones(len(second), np.uint8))
     pair = joined_crc(space, crc[second], length[second])
-    owner = np.repeat(np.arange(len(texts)), count)
-    order = np.argsort(np.concatenate([owner, owner[second]]), kind="stable")
-    buckets = np.concatenate([crc, pair]) % BUCKETS
-    return buckets[order].astype(np.int64), count + np.maximum(count - 1, 0), count
+    return (crc % BUCKETS).astype(np.int32), (pair % BUCKETS).astype(np.int32), count
+
+
+def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The sum of each run of ``counts`` values."""
+    total = np.append(0, np.cumsum(values))
+    ends = np.cumsum(counts)
+    return total[ends] - total[ends - counts]
 
 
 def bucket_counts(texts: DataFrame, text: str = "text") -> np.ndarray:
@@ -97,9 +105,9 @@ def bucket_counts(texts: DataFrame, text: str = "text") -> np.ndarray:
 
     def work(batches):
         total = np.zeros(BUCKETS, np.int64)
-        for batch in blocks.cut(batches, "t"):
-            buckets, _, _ = features(_texts(batch.column("t")))
-            total += np.bincount(buckets, minlength=BUCKETS)
+        for batch in blocks.cut(batches, "t", BLOCK):
+            for buckets in features(_texts(batch.column("t")))[:2]:
+                total += np.bincount(buckets, minlength=BUCKETS)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["bucket", "n"])
 
@@ -137,11 +145,11 @@ def scored(docs: DataFrame, gain: np.ndarray, doc_id: str = "doc_id", text: str
 
     def work(batches):
         table = sent.value
-        for batch in blocks.cut(batches, "t"):
-            buckets, n_features, words = features(_texts(batch.column("t")))
-            sums = np.append(0, np.cumsum(table[buckets]))
-            ends = np.cumsum(n_features)
-            weight = (sums[ends] - sums[ends - n_features]) // np.maximum(n_features, 1)
+        for batch in blocks.cut(batches, "t", BLOCK):
+            single, double, words = features(_texts(batch.column("t")))
+            pairs = np.maximum(words - 1, 0)
+            n_features = words + pairs
+            weight = (sums(table[single], words) + sums(table[double], pairs)) // np.maximum(n_features, 1)
             score = weight + np.array([_draw(name) for name in batch.column("k").to_pylist()], np.int64)
             arrays = [pa.array(x, pa.int64()) for x in (words, n_features, weight, score)]
             yield pa.RecordBatch.from_arrays([batch.column("k"), *arrays], ["k", "n_words", "n_features", "weight", "score"])
