@@ -142,6 +142,25 @@ def test_the_pipeline_drops_near_copies(spark, docs):
     assert {r["doc_id"] for r in kept} == {i * 2 for i in range(60)}
 
 
+def test_the_pipeline_drops_near_copies_of_any_id(spark, docs):
+    """Rows that repeat an id, rows that repeat altogether and rows without an id are judged by their texts."""
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(16)
+    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(100)) for _ in range(8)]
+    near = [t + " y y" for t in texts]
+    rows = [(1, texts[0]), (1, texts[0]), (1, near[0]), (2, near[0]), (2, texts[1]), (3, texts[1])]
+    rows += [(None, texts[0]), (None, near[2]), (None, texts[2]), (None, texts[3]), (4, near[3]), (5, texts[4]), (5, texts[4])]
+    rows += [(6, texts[5]), (6, texts[6]), (7, None), (7, ""), (8, " "), (9, texts[7])]
+    kept = pipeline.drop_near_duplicates(spark, docs(rows), "")
+    assert kept.columns == docs(rows).columns
+    found = sorted((r["doc_id"], r["text"]) for r in kept.where("doc_id in (2, 4, 5, 6, 9)").collect())
+    assert found == sorted([(2, texts[1]), (4, near[3]), (5, texts[4]), (6, texts[5]), (6, texts[6]), (9, texts[7])])
+    others = [(r["doc_id"], r["text"]) for r in kept.where("doc_id in (1, 3, 7, 8) or doc_id is null").collect()]
+    assert len(others) == 3 and {i for i, _ in others} == {1, 7, None}
+    assert dict(others)[1] in (texts[0], near[0]) and dict(others)[7] in (None, "") and dict(others)[None] in (texts[2], near[2])
+
+
 def test_forests_join_what_all_pairs_join():
     rng = np.random.default_rng(3)
     for n, share in ((1, 0.1), (2, 0.0), (40, 0.05), (90, 0.1), (90, 0.25)):
