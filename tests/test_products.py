@@ -45,6 +45,22 @@ def test_cancelled_sums_stay(spark):
     assert cw.drop_zeros(product.df).count() == 0
 
 
+def test_a_longer_vector_comes_to_the_cells_as_panels(spark, setting):
+    """As pairs the vector is beyond a broadcast, as arrays it is not; no cell is shuffled for it."""
+    n = 9000
+    a, x = generate.uniform_rows(spark, 40, n, 0.02), generate.dense_vector(spark, n)
+    whole = values(cw.spmv(a, x))
+    # Repeated entries add up, one is NULL, most are absent.
+    odd = Vector(spark.createDataFrame([(0, 1.0), (0, 2.0), (4096, 4.0), (8999, None)], "k bigint, x double"), n)
+    b = Matrix(spark.createDataFrame([(0, 0, 10.0), (0, 8999, 1.0), (1, 4096, 1.0), (1, 5000, 7.0)], "i bigint, j bigint, v double"), Shape(3, n))
+    setting("spark.sql.autoBroadcastJoinThreshold", "100000")
+    product = cw.spmv(a, x)
+    plan = product.df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert np.allclose(values(product), whole)
+    assert values(cw.spmv(b, odd)).tolist() == [30, 4, 0]
+
+
 def test_infinity_meets_zero_only_in_the_dense_product(spark):
     a = Matrix(spark.createDataFrame([(0, 0, math.inf)], "i bigint, j bigint, v double"), Shape(1, 1))
     assert math.isnan(cw.spdm(a, dense(spark, [[0]])).df.first().v)
