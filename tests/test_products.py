@@ -212,6 +212,35 @@ def test_row_clustering_keeps_the_product_and_drops_a_shuffle(spark):
     assert final.count("Exchange hashpartitioning(i") == final.count("Exchange hashpartitioning") == 1, plan
 
 
+def test_segments_carry_any_index_and_value(spark, setting):
+    """Columns beyond two bytes; whole, broken, large and infinite values, each as it was."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = [[1.0, 127.0, 128.0, 255.0, 256.0, 32767.0], [-1.0, -128.0, -129.0, -32767.0, 7.0, 9.0], [0.5, 2.0, 3.0, 4.0, 5.0, 6.0]]
+    rows += [[-32768.0, 32768.0, 1e300, 1.0, 2.0, 3.0], [math.inf, -math.inf, math.nan, 5e-324, 1.0, 2.0]]
+    js = [0, 65535, 65536, 8_388_607, 8_388_608, 70_000_000]
+    cells = [(i, j, v) for i, row in enumerate(rows) for j, v in zip(js, row, strict=True)]
+    b = Matrix(spark.createDataFrame(cells, "i bigint, j bigint, v double"), Shape(5, 70_000_001))
+    a = Matrix(spark.createDataFrame([(10 + i, i, 1.0) for i in range(5)], "i bigint, j bigint, v double"), Shape(15, 5))
+    p = mul.inner_profile(a, b)
+    met = mul._segments_met(a, b, p)
+    found = {(r.i - 10, r.j): r.v for r in mul.gathered(met).collect()}
+    assert len(found) == 30 and all(found[i, j] == v or math.isnan(v) and math.isnan(found[i, j]) for i, j, v in cells)
+    near = Matrix(b.df.where("j < 8388608"), Shape(5, 8_388_608))
+    found = {(r.i - 10, r.j): r.v for r in mul.gathered(mul._segments_met(a, near, p)).collect()}
+    assert len(found) == 20 and all(found[i, j] == v or math.isnan(v) for i, j, v in cells if j < 8_388_608)
+
+
+def test_tasks_that_send_segments_follow_the_products(spark, setting, monkeypatch):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(mul, "JOIN_PRODUCTS", 100)
+    a = generate.uniform_rows(spark, 200, 30, 0.1)
+    b = generate.uniform_rows(spark, 30, 40, 0.5, seed=3)
+    product = cw.spmm(a, b)
+    assert np.allclose(grid(product), grid(a) @ grid(b))
+    plan = product.df._jdf.queryExecution().executedPlan().toString()
+    assert mul.inner_profile(a, b).products // 100 == 120 and "hashpartitioning(j" in plan and ", 120)" in plan
+
+
 @pytest.mark.parametrize("is_dense, join", [(True, "ShuffledHashJoin"), (False, "SortMergeJoin")])
 def test_hot_column_is_split_at_run_time(spark, setting, monkeypatch, is_dense, join):
     """A third of all cells in one column: its partition is read by several tasks."""
