@@ -241,6 +241,22 @@ def test_tasks_that_send_segments_follow_the_products(spark, setting, monkeypatc
     assert mul.inner_profile(a, b).products // 100 == 120 and "hashpartitioning(j" in plan and ", 120)" in plan
 
 
+def test_the_text_of_a_product_shuffles_no_cell_of_it(spark, setting):
+    """Products go to the rows of the text, empty rows and segments included, and are added up there."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    a = generate.uniform_rows(spark, 60, 30, 0.1)
+    a = Matrix(a.df.where("i % 7 <> 3"), a.shape)
+    b = generate.uniform_rows(spark, 30, 200, 0.1, seed=3)
+    b = Matrix(b.df.where("j < 70 or j > 150"), b.shape)
+    product = cw.spmm(a, b)
+    assert product.segments is not None
+    text = cw.dense_rows(product, width=16)
+    bare = cw.dense_rows(Matrix(product.df, product.shape), width=16)
+    rows = sorted(tuple(r) for r in text.collect())
+    assert rows == sorted(tuple(r) for r in bare.collect()) and len(rows) == 60 * 13
+    assert bare._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(i") > text._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(i")
+
+
 @pytest.mark.parametrize("is_dense, join", [(True, "ShuffledHashJoin"), (False, "SortMergeJoin")])
 def test_hot_column_is_split_at_run_time(spark, setting, monkeypatch, is_dense, join):
     """A third of all cells in one column: its partition is read by several tasks."""
